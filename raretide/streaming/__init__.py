@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The reference reads two bounded tables and writes one; it has no stream
+source, no watermark, no stateful operator.  Scoring new rows is the batch
+plan run again on the new table (``raretide.plans.pipeline``).
+"""
