@@ -285,6 +285,36 @@ def q_pseudo_gate(spark, sf):
     return pseudo.gate(test_wide(spark, sf).select("id", F.col("m1").alias("score")))
 
 
+# ---------------------------------------------------------------- oversampling
+def _smote_input(spark, sf):
+    from raretide.operators.folds import stratified_folds
+    train, _ = split(spark, sf)
+    f = stratified_folds(train, 5, 42, keep_rank=True)
+    return impute.MedianImputer(FEATURES).fit(train).transform(f)
+
+
+def q_smote_knn(spark, sf):
+    from raretide.operators import resample
+    t = _smote_input(spark, sf)
+    pos = t.filter(F.col("target") == 1).select("id", "fold", "target",
+                                                F.array(*[F.col(c) for c in FEATURES]).alias("vec"))
+    nn = resample.knn(resample.minority_groups(pos, 5), k=5)
+    return nn.select(F.col("tf").cast("int").alias("tf"), "id", "rank", "nn_id", r6("dist").alias("dist"))
+
+
+def q_smote_check(spark, sf):
+    from raretide.operators import resample
+    t = _smote_input(spark, sf)
+    syn, _ = resample.oversample(t, FEATURES, 5, ratio=0.10, k=5)
+    made = syn.groupBy("tf").agg(F.count(F.lit(1)).alias("n_made"))
+    cnt = resample.synthetic_counts(t, 5, 0.10)
+    out = cnt.join(made, "tf", "left").select(
+        F.col("tf").cast("int").alias("tf"), F.col("n_pos").cast("long").alias("n_pos"),
+        F.col("n_neg").cast("long").alias("n_neg"), F.coalesce("n_made", F.lit(0)).cast("long").alias("n_syn"))
+    return out.select("*", r6((F.col("n_pos") + F.col("n_syn")) / (F.col("n_pos") + F.col("n_syn") + F.col("n_neg")))
+                      .alias("share_after"))
+
+
 SQL_QUERIES: dict[str, Query] = {
     "scan_entities": q_scan_entities,
     "profile_target": q_profile_target,
@@ -327,5 +357,7 @@ SQL_QUERIES: dict[str, Query] = {
     "rank_norm_test": q_rank_norm_test,
     "pseudo_select": q_pseudo_select,
     "pseudo_gate": q_pseudo_gate,
+    "smote_knn": q_smote_knn,
+    "smote_check": q_smote_check,
 }
 ROWS_QUERIES: dict[str, Query] = {}

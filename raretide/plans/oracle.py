@@ -394,4 +394,26 @@ def oracle_sql() -> dict[str, str]:
     q["pseudo_gate"] = with_base(
         "SELECT n_high, n_low, n_high + n_low AS n_pseudo, (n_high + n_low) > 500 AS use_pseudo FROM ("
         "SELECT count(*) FILTER (WHERE m1 > 0.85) AS n_high, count(*) FILTER (WHERE m1 < 0.005) AS n_low FROM testw)")
+
+    # oversampling
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in FEATS)
+    imp = ", ".join(f"coalesce(f.{c}, m.{c}) AS {c}" for c in FEATS)
+    d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS)
+    knn = (f"meds AS (SELECT {med} FROM train),\n"
+           f"mino AS (SELECT f.id, f.fold, {imp} FROM folds f, meds m WHERE f.target = 1),\n"
+           "tfs AS (SELECT range AS tf FROM range(0, 5)),\n"
+           f"pairs AS (SELECT t.tf, a.id, b.id AS nn_id, {d2} AS d2 FROM tfs t JOIN mino a ON a.fold <> t.tf "
+           "JOIN mino b ON b.fold <> t.tf AND b.id <> a.id),\n"
+           "ranked AS (SELECT *, row_number() OVER (PARTITION BY tf, id ORDER BY d2, nn_id) AS rnk FROM pairs)")
+    q["smote_knn"] = with_base(
+        f"SELECT CAST(tf AS INTEGER) AS tf, id, CAST(rnk AS INTEGER) AS rank, nn_id, {r6('sqrt(d2)')} AS dist "
+        "FROM ranked WHERE rnk <= 5", knn)
+    cnt = ("per AS (SELECT fold, count(*) FILTER (WHERE target = 1) AS p, count(*) FILTER (WHERE target = 0) AS n "
+           "FROM folds GROUP BY fold),\n"
+           "cnt AS (SELECT fold AS tf, (SELECT sum(p) FROM per) - p AS n_pos, (SELECT sum(n) FROM per) - n AS n_neg FROM per)")
+    q["smote_check"] = with_base(
+        "SELECT CAST(tf AS INTEGER) AS tf, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, "
+        "CAST(greatest(floor(n_neg * 0.1) - n_pos, 0) AS BIGINT) AS n_syn, "
+        + r6("(n_pos + greatest(floor(n_neg * 0.1) - n_pos, 0)) / (n_pos + greatest(floor(n_neg * 0.1) - n_pos, 0) + n_neg)")
+        + " AS share_after FROM cnt", cnt)
     return q
