@@ -360,4 +360,175 @@ SQL_QUERIES: dict[str, Query] = {
     "smote_knn": q_smote_knn,
     "smote_check": q_smote_check,
 }
-ROWS_QUERIES: dict[str, Query] = {}
+# ---------------------------------------------------------------- rows-only (learners, draws, sinks)
+def _plan(spark, sf):
+    from raretide.plans import pipeline
+    cfg = pipeline.PlanConfig(members=[])
+    tr, ts, feats, spw, key = pipeline.features_stage(spark, sf, cfg)
+    return pipeline, cfg, tr, ts, feats, spw, key
+
+
+def _gbt_cv(spark, sf, name="lgb", max_iter=10):
+    from raretide.operators import learners
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    syn = pl.smote_stage(spark, tr, feats, cfg, key)
+    return pl.member_stage(spark, tr, ts, feats, learners.member(name, max_iter), cfg, spw, syn, key)
+
+
+def q_smote_sample(spark, sf):
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    return pl.smote_stage(spark, tr, feats, cfg, key).select("tf", "syn_id", "base_id", "nn_id", "u",
+                                                            *[c for c in FEATURES])
+
+
+def q_gbt_oof(spark, sf):
+    return _gbt_cv(spark, sf)[0]
+
+
+def q_test_fold_mean(spark, sf):
+    return _gbt_cv(spark, sf)[1]
+
+
+def q_rf_oof(spark, sf):
+    return _gbt_cv(spark, sf, "rf", 20)[0]
+
+
+def q_gbt_presets(spark, sf):
+    from raretide.operators import learners
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    parts = []
+    for name in ("hgb_a", "hgb_b", "hgb_c"):
+        parts.append(pl.member_stage(spark, tr, ts, feats, learners.member(name, 8), cfg, spw, None, key)[0])
+    oof = learners._union(parts)
+    return learners.fold_metrics(oof)
+
+
+def q_best_iteration(spark, sf):
+    from raretide.operators import learners
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    m = learners.member("lgb", 12)
+    va = learners.assembler(feats)
+    rows = []
+    base = learners.with_weight(tr, spw)
+    for f in range(cfg.k_folds):
+        model = m.estimator().fit(va.transform(base.filter(F.col("fold") != f)))
+        rows.append((f, learners.best_iteration(model, va.transform(base.filter(F.col("fold") == f))), m.max_iter))
+    return spark.createDataFrame(rows, "fold int, best_iter int, max_iter int")
+
+
+def q_meta_stack(spark, sf):
+    from raretide.operators import learners
+    oof_s, tst = learners.meta_stack(oof_wide(spark, sf), test_wide(spark, sf), ["m1", "m2"])
+    return oof_s.select("id", F.lit("oof").alias("split"), "meta").unionByName(
+        tst.select("id", F.lit("test").alias("split"), "meta"))
+
+
+def q_random_search(spark, sf):
+    from raretide.operators import learners
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    folded = folds.stratified_folds(tr.drop("fold"), 3, 42, fold_col="fold")
+    return learners.random_search(folded, feats, learners.member("lgb", 5), 3, spw, n_trials=3, parallelism=3,
+                                  max_depth_cap=6)
+
+
+def q_isotonic(spark, sf):
+    from raretide.operators import calibrate
+    oof = oof_wide(spark, sf).select("id", "target", F.col("m1").alias("score"))
+    model = calibrate.fit_isotonic(oof)
+    out = calibrate.apply_isotonic(model, test_wide(spark, sf).select("id", F.col("m1").alias("score")))
+    return out.select("id", "score", "calibrated")
+
+
+def _standin_final(spark, sf):
+    models = ["m1", "m2", "m3"]
+    ow, tw = oof_wide(spark, sf), test_wide(spark, sf)
+    best = blend.search(ow, models, 20, "ap").first()
+    w = [best[n] / 20.0 for n in blend.weight_names(3)]
+    ob = blend.apply_weights(ow, models, w, "score").withColumn("__k", F.lit(0))
+    tb = blend.apply_weights(tw, models, w, "score").withColumn("__k", F.lit(0))
+    blend_ap = metrics.average_precision(ob, []).first()["ap"]
+    on = ranknorm.average_rank(ob, ["__k"], out="norm")
+    norm_ap = metrics.average_precision(on.select("target", F.col("norm").alias("score")), []).first()["ap"]
+    if norm_ap >= blend_ap:
+        knots = ranknorm.rank_knots(ob, ["__k"])
+        final = ranknorm.interpolate(knots, tb.select("id", "score", "__k"), ["__k"], out="final") \
+            .select("id", F.col("final").alias("score"), F.lit("rank_norm").alias("method"))
+    else:
+        final = tb.select("id", "score", F.lit("blend").alias("method"))
+    return final
+
+
+def q_final_select(spark, sf):
+    return _standin_final(spark, sf)
+
+
+def q_submission(spark, sf):
+    import uuid
+    from raretide.session import checkpoint_root
+    from raretide.sources import sink
+    path = f"{checkpoint_root(spark)}/submission-{uuid.uuid4().hex[:8]}"
+    sink.write_submission(_standin_final(spark, sf), path)
+    return spark.read.option("header", True).schema("id long, target double").csv(path)
+
+
+def q_stage_resume(spark, sf):
+    import uuid
+    from raretide.sources import stages
+    fp = uuid.uuid4().hex[:12]
+    log = []
+    calls = {"n": 0}
+
+    def build():
+        calls["n"] += 1
+        return entity_features(spark, sf)
+
+    for step, f in ((1, fp), (2, fp), (3, fp + "x")):
+        before = calls["n"]
+        n = stages.stage(spark, "resume_check", f, build).count()
+        log.append((step, f != fp, calls["n"] > before, n))
+    return spark.createDataFrame(log, "step int, fingerprint_changed boolean, rebuilt boolean, n_rows long")
+
+
+def q_pseudo_refit(spark, sf):
+    from raretide.operators import learners, pseudo
+    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
+    m = learners.member("lgb", 6)
+    base_oof, base_tst = pl.member_stage(spark, tr, ts, feats, m, cfg, spw, None, key)
+    gate = pseudo.gate(base_tst).first()
+    base_ap = metrics.average_precision(base_oof, []).first()["ap"]
+    if not gate["use_pseudo"]:
+        return spark.createDataFrame([(m.name, int(gate["n_pseudo"]), float(base_ap), None, False)],
+                                     "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean")
+    rows = pseudo.select_pseudo(base_tst).join(ts, "id").withColumnRenamed("pseudo_label", "target")
+    cv = learners.cross_val(tr, ts, feats, m, cfg.k_folds, spw, None, extra_train=rows)
+    refit_ap = metrics.average_precision(cv.oof, []).first()["ap"]
+    return spark.createDataFrame(
+        [(m.name, int(gate["n_pseudo"]), float(base_ap), float(refit_ap), pseudo.keep_refit(base_ap, refit_ap))],
+        "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean")
+
+
+def q_score_plan(spark, sf):
+    """The whole checkpoint-edition plan on the fixture (3 members, SMOTE, blend, rank norm)."""
+    from raretide.operators import learners
+    from raretide.plans import pipeline
+    cfg = pipeline.PlanConfig(members=[learners.member("lgb", 10), learners.member("xgb", 10),
+                                       learners.member("rf", 20)])
+    return pipeline.run(spark, sf, cfg).final
+
+
+ROWS_QUERIES: dict[str, Query] = {
+    "smote_sample": q_smote_sample,
+    "gbt_oof": q_gbt_oof,
+    "test_fold_mean": q_test_fold_mean,
+    "rf_oof": q_rf_oof,
+    "gbt_presets": q_gbt_presets,
+    "best_iteration": q_best_iteration,
+    "meta_stack": q_meta_stack,
+    "random_search": q_random_search,
+    "isotonic": q_isotonic,
+    "final_select": q_final_select,
+    "submission": q_submission,
+    "stage_resume": q_stage_resume,
+    "pseudo_refit": q_pseudo_refit,
+    "score_plan": q_score_plan,
+}
