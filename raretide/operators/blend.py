@@ -22,12 +22,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raretide.operators.metrics import average_precision, roc_auc
+from raretide.operators.ordered import default_buckets
 
 
 def weight_names(n_models: int) -> list[str]:
     return [f"w{j + 1}" for j in range(n_models)]
 
 
+def grid_size(n_models: int, steps: int) -> int:
+    from math import comb
+    return comb(steps + n_models - 1, n_models - 1)
+
+
 def with_grid(df: DataFrame, n_models: int, steps: int) -> DataFrame:
     """Every row repeated once per grid point, with integer columns ``w1..wm``."""
     names = weight_names(n_models)
@@ -52,14 +58,19 @@ def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "a
                 coarse_bins: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """``w1..wm, metric`` for every grid point (exact unless ``coarse_bins``)."""
     names = weight_names(len(models))
+    if n_buckets is None:
+        # The grid points are the window keys; they alone fill the shuffle width.
+        n_buckets = default_buckets(wide.sparkSession, grid_size(len(models), steps))
     g = with_grid(wide.select(label, *models), len(models), steps)
     score = blended(models, names)
     if coarse_bins:
         # Scores are probabilities/ranks on a bounded range; the blend is in [0, steps].
         score = F.floor(score / steps * coarse_bins)
     g = g.select(*names, label, score.alias("blend"))
-    fn = average_precision if metric == "ap" else roc_auc
-    return fn(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
+    if metric == "ap":
+        return average_precision(g, names, "blend", label, n_buckets=n_buckets, alias="metric",
+                                 many_ties=bool(coarse_bins))
+    return roc_auc(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
 
 
 def best_weights(grid: DataFrame, n_models: int) -> DataFrame:
@@ -79,7 +90,7 @@ def search(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", l
     fine = wide.select(label, *models, F.explode(points).alias("__w")).select(label, *models, "__w.*")
     fn = average_precision if metric == "ap" else roc_auc
     exact = fn(fine.select(*names, label, blended(models, names).alias("blend")), names, "blend", label,
-               alias="metric")
+               n_buckets=default_buckets(wide.sparkSession, len(top)), alias="metric")
     return best_weights(exact, len(models))
 
 

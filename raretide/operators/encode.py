@@ -122,7 +122,7 @@ def fold_stats(binned: DataFrame, cols: list[str], prior: float, smooth: float,
     st = long.groupBy("col", fold_col, "bin").agg(
         F.count(F.lit(1)).alias("n_fold"), F.sum(F.col(label).cast("long")).alias("s_fold"))
     w = Window.partitionBy("col", "bin")
-    st = st.select("col", F.col(fold_col).alias("fold"), F.col("bin").cast("int").alias("bin"),
+    st = st.select("col", F.col(fold_col).alias("fold"), F.col("bin").cast("int").alias("bin"), "n_fold", "s_fold",
                    (F.sum("n_fold").over(w) - F.col("n_fold")).alias("n_other"),
                    (F.sum("s_fold").over(w) - F.col("s_fold")).alias("s_other"))
     return st.withColumn("enc", (F.col("s_other") + smooth * prior) / (F.col("n_other") + smooth))
@@ -159,9 +159,14 @@ class TargetEncoder:
         inner = {c: inner_edges([e for _, e in sorted(edges[c])]) for c in cols}
         model = TargetEncoderModel(cols, prior, inner, fold_col=self.fold_col, prefix=self.prefix)
         binned = model.bins(train)
-        # Bounded: len(cols) x folds x n_bins rows.
+        # Bounded: len(cols) x folds x n_bins rows.  The whole-train statistics
+        # are the sums over folds, so they need no second pass.
+        totals: dict[tuple[str, int], list[int]] = {}
         for r in fold_stats(binned, cols, prior, self.smooth, self.label, self.fold_col).collect():
             model.oof.setdefault(r["col"], {})[(r["fold"], r["bin"])] = r["enc"]
-        for r in full_stats(binned, cols, prior, self.smooth, self.label).collect():
-            model.full.setdefault(r["col"], {})[r["bin"]] = r["enc"]
+            t = totals.setdefault((r["col"], r["bin"]), [0, 0])
+            t[0] += int(r["n_fold"])
+            t[1] += int(r["s_fold"])
+        for (c, b), (n, s_) in totals.items():
+            model.full.setdefault(c, {})[b] = (s_ + self.smooth * prior) / (n + self.smooth)
         return model

@@ -14,10 +14,10 @@ collapses to one row before any shuffle), then ordered with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from raretide.operators.ordered import prefix_sums
+from raretide.operators.ordered import default_buckets, prefix_sums
 
 
 def score_counts(df: DataFrame, keys: list[str], score: str = "score", label: str = "target") -> DataFrame:
@@ -27,7 +27,21 @@ def score_counts(df: DataFrame, keys: list[str], score: str = "score", label: st
 
 
 def average_precision(df: DataFrame, keys: list[str], score: str = "score", label: str = "target",
-                      n_buckets: int | None = None, alias: str = "ap") -> DataFrame:
+                      n_buckets: int | None = None, alias: str = "ap", n_keys: int | None = None,
+                      many_ties: bool = False) -> DataFrame:
+    """``many_ties``: scores take few distinct values (e.g. quantised), so
+    combining rows per score first shrinks the data before the ordering."""
+    nb = default_buckets(df.sparkSession, n_keys) if n_buckets is None else n_buckets
+    if nb <= 1 and keys and not many_ties:
+        # Keys alone fill the shuffle width: one window over the rows.  A RANGE
+        # frame gives tied scores one shared running count, so each positive
+        # row adds the precision of its threshold (= pos_s * P_s summed).
+        w = Window.partitionBy(*keys).orderBy(F.col(score).desc()).rangeBetween(Window.unboundedPreceding, 0)
+        y = F.col(label).cast("long")
+        run = df.select(*keys, y.alias("__y"), F.sum(y).over(w).alias("__cp"), F.count(F.lit(1)).over(w).alias("__cn"))
+        return run.groupBy(*keys).agg(
+            F.try_divide(F.sum(F.when(F.col("__y") == 1, F.col("__cp") / F.col("__cn"))),
+                         F.sum("__y").cast("double")).alias(alias))
     sc = score_counts(df, keys, score, label)
     run = prefix_sums(sc, keys, [score], ["pos", "n"], descending=True, n_buckets=n_buckets)
     term = F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))

@@ -13,7 +13,10 @@ is cut into ``n_buckets`` value ranges whose bounds come from a per-key
 3. a window partitioned by (key, bucket) adds the in-bucket running sum.
 
 The result equals the single-window answer exactly; only step 3 touches the
-data and it runs in ``n_keys x n_buckets`` parallel partitions.  The tiny
+data and it runs in ``n_keys x n_buckets`` parallel partitions.  The bucket
+count comes from Catalyst's size estimate of the input (about 128 MB per
+bucket, since one hot key may own all rows); a small input gets one bucket
+and skips the extra pass.  The tiny
 tables join back by hash join; AQE turns those into broadcasts once their
 measured size is known.
 """
@@ -28,8 +31,16 @@ _B = "__ord_bucket"
 _O = "__ord_val"
 
 
-def default_buckets(spark: SparkSession) -> int:
-    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+def default_buckets(spark: SparkSession, n_keys: int | None = None) -> int:
+    """Buckets per key: the shuffle width spread over the keys (at least one).
+
+    Many keys (a weight grid) already fill the cluster, so each gets one
+    bucket and the plan is a plain window partitioned by the keys; few keys
+    (one metric, two classes) are cut into ``spark.sql.shuffle.partitions``
+    ranges each.
+    """
+    width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    return max(1, width // max(1, n_keys or 1))
 
 
 def _with_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -42,6 +53,7 @@ def bucket_bounds(df: DataFrame, keys: list[str], value: str, n_buckets: int,
                   accuracy: int = 10000) -> DataFrame:
     """Per-key ``n_buckets - 1`` approximate quantiles of ``value`` as an array."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy = min(accuracy, max(100, 20 * n_buckets))  # bounds only need ~1/(20 n) rank accuracy
     return df.groupBy(*keys).agg(
         F.percentile_approx(F.col(value), probs, accuracy).alias("__bounds"))
 
@@ -55,7 +67,8 @@ def _assign(df: DataFrame, keys: list[str], value: Column, n_buckets: int) -> Da
     df = df.withColumn(_O, value)
     if n_buckets <= 1:
         return df.withColumn(_B, F.lit(0))
-    bounds = bucket_bounds(df, keys, _O, n_buckets)
+    # keys x buckets numbers: broadcast, the data side does not move.
+    bounds = F.broadcast(bucket_bounds(df, keys, _O, n_buckets))
     return (df.join(bounds, keys, "left")
               .withColumn(_B, bucket_of(F.col(_O), F.col("__bounds")))
               .drop("__bounds"))
@@ -63,15 +76,14 @@ def _assign(df: DataFrame, keys: list[str], value: Column, n_buckets: int) -> Da
 
 def prefix_sums(df: DataFrame, keys: list[str], order: list[str], sums: list[str],
                 descending: bool = False, n_buckets: int | None = None,
-                prefix: str = "cum_", totals: bool = True) -> DataFrame:
+                prefix: str = "cum_", totals: bool = True, n_keys: int | None = None) -> DataFrame:
     """Add inclusive running sums ``cum_<s>`` of ``sums`` over ``order`` within ``keys``.
 
     ``order`` must be unique within a key (aggregate ties first); the first
     ``order`` column decides the bucket, so ties on it never straddle buckets.
     With ``totals`` the per-key grand totals come back as ``tot_<s>``.
     """
-    spark = df.sparkSession
-    n_buckets = default_buckets(spark) if n_buckets is None else n_buckets
+    n_buckets = default_buckets(df.sparkSession, n_keys) if n_buckets is None else n_buckets
     base, kcols = _with_key(df, keys)
     first = F.col(order[0])
     ordval = -first if descending else first
@@ -87,7 +99,13 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], sums: list[str
     )
     ocols = [(F.col(c).desc() if descending else F.col(c).asc()) for c in order]
     w = Window.partitionBy(*kcols, _B).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(offs, kcols + [_B], "left").select(
+    if n_buckets <= 1:
+        w1 = Window.partitionBy(*kcols).orderBy(*ocols)
+        return base.select(
+            *[F.col(c) for c in df.columns],
+            *[F.sum(s).over(w1.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{prefix}{s}") for s in sums],
+            *([F.sum(s).over(Window.partitionBy(*kcols)).alias(f"tot_{s}") for s in sums] if totals else []))
+    out = tagged.join(F.broadcast(offs), kcols + [_B], "left").select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"__off_{s}") + F.sum(s).over(w)).alias(f"{prefix}{s}") for s in sums],
         *([F.col(f"tot_{s}") for s in sums] if totals else []),
@@ -105,12 +123,12 @@ def asof_neighbours(knots: DataFrame, probes: DataFrame, keys: list[str], value:
     when there is no knot on that side).  A knot equal to the probe is its
     ``lo`` neighbour (knots sort before probes on ties).
     """
-    spark = knots.sparkSession
-    n_buckets = default_buckets(spark) if n_buckets is None else n_buckets
+    if n_buckets is None:
+        n_buckets = default_buckets(knots.sparkSession)
     kb, kcols = _with_key(knots, keys)
     pb, _ = _with_key(probes, keys)
     if n_buckets > 1:
-        bounds = bucket_bounds(kb, kcols, value, n_buckets)
+        bounds = F.broadcast(bucket_bounds(kb, kcols, value, n_buckets))
         kb = kb.join(bounds, kcols).withColumn(_B, bucket_of(F.col(value), F.col("__bounds"))).drop("__bounds")
         pb = pb.join(bounds, kcols, "left").withColumn(
             _B, F.coalesce(bucket_of(F.col(value), F.col("__bounds")), F.lit(0))).drop("__bounds")
@@ -143,7 +161,7 @@ def asof_neighbours(knots: DataFrame, probes: DataFrame, keys: list[str], value:
         *kcols, _B,
         F.last("__last", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__plast"),
         F.first("__first", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("__nfirst"))
-    res = probe_part.join(ends, kcols + [_B], "left").select(
+    res = probe_part.join(F.broadcast(ends), kcols + [_B], "left").select(
         "*", F.coalesce("__lo", "__plast").alias("__L"), F.coalesce("__hi", "__nfirst").alias("__H"))
     sel = [F.col(c) for c in kcols if c != _K] + [F.col(value)] + [F.col(c) for c in pcols]
     sel.append(F.col("__L.v").alias(f"lo_{value}"))

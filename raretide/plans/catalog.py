@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from raretide.functions import features as fx
@@ -230,10 +230,9 @@ def q_metric_by_fold(spark, sf):
 def _grid(spark, sf, models, steps, metric):
     g = blend.grid_metric(oof_wide(spark, sf), models, steps, metric)
     names = blend.weight_names(len(models))
-    best = blend.best_weights(g, len(models)).select(*names, F.lit(True).alias("is_best"))
-    out = g.join(best, names, "left").select(*names, r6("metric").alias("metric"),
-                                             F.coalesce("is_best", F.lit(False)).alias("is_best"))
-    return out
+    # The grid result is tiny (one row per weight point): rank it in one window.
+    w = Window.orderBy(F.round("metric", 12).desc(), *names)
+    return g.select(*names, r6("metric").alias("metric"), (F.row_number().over(w) == 1).alias("is_best"))
 
 
 def q_blend2_auc(spark, sf):

@@ -60,13 +60,17 @@ class PlanConfig:
 META = ("id", "target", "fold", "class_rank")
 
 
-def prepare(train: DataFrame, test: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Engineered, encoded, imputed train (with fold/class_rank) and test tables."""
+def engineered(train: DataFrame, test: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame]:
+    """Row features (one projection each) and folds of the train side."""
     raw = [c for c in train.columns if c not in ("id", "target")]
     detected = profile.detect_binary(train, raw) if cfg.spec.auto_binary else None
     tr = engineer(train, cfg.spec, raw, detected)
     ts = engineer(test, cfg.spec, raw, detected)
-    tr = stratified_folds(tr, cfg.k_folds, cfg.seed, keep_rank=True)
+    return stratified_folds(tr, cfg.k_folds, cfg.seed, keep_rank=True), ts
+
+
+def encoded(tr: DataFrame, ts: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Out-of-fold target encoding and median imputation of engineered tables."""
     te_cols = [c for c in cfg.spec.te_cols if c in tr.columns]
     if te_cols:
         enc = TargetEncoder(te_cols, cfg.smooth, cfg.n_bins, exact=cfg.exact_quantiles).fit(tr, ts)
@@ -78,6 +82,17 @@ def prepare(train: DataFrame, test: DataFrame, cfg: PlanConfig) -> tuple[DataFra
     return imp.transform(tr), imp.transform(ts), feats
 
 
+def prepare(train: DataFrame, test: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Engineered, encoded, imputed train (with fold/class_rank) and test tables."""
+    tr, ts = engineered(train, test, cfg)
+    return encoded(tr, ts, cfg)
+
+
+def _sides(tr: DataFrame, ts: DataFrame) -> DataFrame:
+    return tr.withColumn("__side", F.lit("train")).unionByName(ts.withColumn("__side", F.lit("test")),
+                                                              allowMissingColumns=True)
+
+
 @dataclass
 class PlanResult:
     features: list[str]
@@ -104,9 +119,13 @@ def features_stage(spark: SparkSession, sf_dir: str, cfg: PlanConfig) -> tuple[D
     spw = float(profile.target_profile(train).first()["scale_pos_weight"])
 
     def build_features() -> DataFrame:
-        tr, ts, _ = prepare(train, test, cfg)
-        return tr.withColumn("__side", F.lit("train")).unionByName(
-            ts.withColumn("__side", F.lit("test")), allowMissingColumns=True)
+        # The engineered tables are written first: the encoder and imputer fits
+        # (small collected results) then read them instead of recomputing joins.
+        eng = stage(spark, "engineered", key, lambda: _sides(*engineered(train, test, cfg)), partition_by=["__side"])
+        e_tr = eng.filter(F.col("__side") == "train").drop("__side")
+        e_ts = eng.filter(F.col("__side") == "test").drop("__side", "target", "fold", "class_rank")
+        tr, ts, _ = encoded(e_tr, e_ts, cfg)
+        return _sides(tr, ts)
 
     both = stage(spark, "features", key, build_features, partition_by=["__side"])
     feats = [c for c in both.columns if c not in META + ("__side",)]
