@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from raretide.operators import blend, learners, metrics, ranknorm  # noqa: E402
 from raretide.plans import catalog, fixture, pipeline  # noqa: E402
-from raretide.session import local_session  # noqa: E402
+from raretide.session import checkpoint_root, local_session  # noqa: E402
 from raretide.sources.sink import write_submission  # noqa: E402
 
 
@@ -35,10 +34,11 @@ def noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="raretide-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="raretide-bench")
     spark.sparkContext.setLogLevel("ERROR")
-    spark.sparkContext.setCheckpointDir(scratch)
+    # The session's checkpoint folder (a fresh per-application sub-folder of
+    # spark.checkpoint.dir, or of a scratch folder only when that is unset).
+    scratch = checkpoint_root(spark)
     times: dict[str, float] = {}
 
     def timed(name, fn):

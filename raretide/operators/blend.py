@@ -29,6 +29,22 @@ def weight_names(n_models: int) -> list[str]:
     return [f"w{j + 1}" for j in range(n_models)]
 
 
+# Rows of one grid point that one window task may order on the exact path;
+# more input rows than this split every point into value-range buckets.
+ROWS_PER_TASK = 4_000_000
+
+
+def point_buckets(wide: DataFrame, n_points: int) -> int:
+    """Buckets per grid point for the exact path, from a counted input size.
+
+    The shuffle width spread over the points (many points already fill the
+    cluster), but never fewer than one bucket per ``ROWS_PER_TASK`` rows, so
+    no task orders an unbounded share of the data.
+    """
+    n = wide.count()
+    return max(default_buckets(wide.sparkSession, n_points), -(-n // ROWS_PER_TASK))
+
+
 def grid_size(n_models: int, steps: int) -> int:
     from math import comb
     return comb(steps + n_models - 1, n_models - 1)
@@ -59,8 +75,11 @@ def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "a
     """``w1..wm, metric`` for every grid point (exact unless ``coarse_bins``)."""
     names = weight_names(len(models))
     if n_buckets is None:
-        # The grid points are the window keys; they alone fill the shuffle width.
-        n_buckets = default_buckets(wide.sparkSession, grid_size(len(models), steps))
+        # Coarse: at most coarse_bins + 1 values per point after the map-side
+        # combine, so the points alone fill the shuffle width.
+        n_points = grid_size(len(models), steps)
+        n_buckets = (default_buckets(wide.sparkSession, n_points) if coarse_bins
+                     else point_buckets(wide, n_points))
     g = with_grid(wide.select(label, *models), len(models), steps)
     score = blended(models, names)
     if coarse_bins:
@@ -90,7 +109,7 @@ def search(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", l
     fine = wide.select(label, *models, F.explode(points).alias("__w")).select(label, *models, "__w.*")
     fn = average_precision if metric == "ap" else roc_auc
     exact = fn(fine.select(*names, label, blended(models, names).alias("blend")), names, "blend", label,
-               n_buckets=default_buckets(wide.sparkSession, len(top)), alias="metric")
+               n_buckets=point_buckets(wide, len(top)), alias="metric")
     return best_weights(exact, len(models))
 
 

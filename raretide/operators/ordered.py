@@ -14,11 +14,11 @@ is cut into ``n_buckets`` value ranges whose bounds come from a per-key
 
 The result equals the single-window answer exactly; only step 3 touches the
 data and it runs in ``n_keys x n_buckets`` parallel partitions.  The bucket
-count comes from Catalyst's size estimate of the input (about 128 MB per
-bucket, since one hot key may own all rows); a small input gets one bucket
-and skips the extra pass.  The tiny
-tables join back by hash join; AQE turns those into broadcasts once their
-measured size is known.
+count spreads the shuffle width over the keys (:func:`default_buckets`);
+callers whose keys are many and large (the exact blend grid) pass a count
+derived from a counted input size.  The tiny tables broadcast back: they hold
+``n_keys x n_buckets`` rows, and every caller's keys are bounded by
+parameters (folds, models, grid points, feature columns), never by the data.
 """
 
 from __future__ import annotations

@@ -41,13 +41,21 @@ def ordinal_rank(df: DataFrame, keys: list[str], score: str = "score", id_col: s
 
 def interpolate(knots: DataFrame, probes: DataFrame, keys: list[str], score: str = "score",
                 rank: str = "rank", out: str = "rank_norm", n_buckets: int | None = None) -> DataFrame:
-    """``np.interp(probe, knot_scores, knot_ranks)`` for knots unique in score."""
-    nb = asof_neighbours(knots.select(*keys, score, rank), probes, keys, score, [rank], n_buckets)
+    """``np.interp(probe, knot_scores, knot_ranks)`` for knots unique in score.
+
+    The as-of lookup runs on the distinct probe scores (a score shared by
+    many probe rows - a hot value - collapses map-side to one row), and the
+    mapped value joins back on ``(keys, score)``; AQE's skew-join splits a
+    hot score on that join.  A NULL probe maps to NULL.
+    """
+    k = knots.filter(F.col(score).isNotNull()).select(*keys, score, rank)
+    distinct = probes.filter(F.col(score).isNotNull()).select(*keys, score).distinct()
+    nb = asof_neighbours(k, distinct, keys, score, [rank], n_buckets)
     s0, s1, r0, r1 = (F.col(f"lo_{score}"), F.col(f"hi_{score}"), F.col(f"lo_{rank}"), F.col(f"hi_{rank}"))
     x = F.col(score)
     val = (F.when(s0.isNull(), r1)
             .when(s1.isNull(), r0)
             .when(x == s0, r0)
             .otherwise(r0 + (x - s0) * (r1 - r0) / (s1 - s0)))
-    keep = [c for c in nb.columns if not (c.startswith("lo_") or c.startswith("hi_"))]
-    return nb.select(*keep, val.alias(out))
+    mapped = nb.select(*keys, score, val.alias(out))
+    return probes.join(mapped, keys + [score], "left")

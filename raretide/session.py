@@ -40,6 +40,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return jdir.get().rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to the other executors and
+            # lost with this host: a cluster must name a shared folder.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         root = tempfile.mkdtemp(prefix="raretide-ckpt-", dir=os.environ.get("RARETIDE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(root)
     # setCheckpointDir adds a per-application sub-folder; report that one so
