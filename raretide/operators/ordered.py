@@ -142,10 +142,16 @@ def asof_neighbours(knots: DataFrame, probes: DataFrame, keys: list[str], value:
                    *[F.lit(None).cast(pb.schema[c].dataType).alias(c) for c in pcols])
            .unionByName(pb.select(*kcols, _B, F.col(value), F.lit(1).alias("__is_probe"),
                                   F.lit(None).cast(ktype).alias("__knot"), *pcols)))
+    # Both neighbours come from running frames (unbounded preceding .. current
+    # row), which Spark evaluates in one pass; a frame reaching to unbounded
+    # following is re-aggregated for every row (quadratic in the partition).
+    # The knot above a probe is the last knot seen in descending order, where
+    # probes sort before knots on ties (an equal knot is the lower neighbour).
     w = Window.partitionBy(*kcols, _B).orderBy(F.col(value), F.col("__is_probe"))
+    wd = Window.partitionBy(*kcols, _B).orderBy(F.col(value).desc(), F.col("__is_probe").desc())
     u = u.select("*",
                  F.last("__knot", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__lo"),
-                 F.first("__knot", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("__hi"))
+                 F.last("__knot", ignorenulls=True).over(wd.rowsBetween(Window.unboundedPreceding, 0)).alias("__hi"))
     probe_part = u.filter(F.col("__is_probe") == 1)
 
     # Neighbours in other buckets: the last knot of the nearest lower bucket and
@@ -157,10 +163,11 @@ def asof_neighbours(knots: DataFrame, probes: DataFrame, keys: list[str], value:
                .join(kb_ends.select(*kcols, _B), kcols + [_B], "left_anti")
                .select(*kcols, _B, F.lit(None).cast(ktype).alias("__last"), F.lit(None).cast(ktype).alias("__first")))
     wb = Window.partitionBy(*kcols).orderBy(_B)
+    wbd = Window.partitionBy(*kcols).orderBy(F.col(_B).desc())
     ends = kb_ends.unionByName(empty).select(
         *kcols, _B,
         F.last("__last", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__plast"),
-        F.first("__first", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("__nfirst"))
+        F.last("__first", ignorenulls=True).over(wbd.rowsBetween(Window.unboundedPreceding, -1)).alias("__nfirst"))
     res = probe_part.join(F.broadcast(ends), kcols + [_B], "left").select(
         "*", F.coalesce("__lo", "__plast").alias("__L"), F.coalesce("__hi", "__nfirst").alias("__H"))
     sel = [F.col(c) for c in kcols if c != _K] + [F.col(value)] + [F.col(c) for c in pcols]
