@@ -9,8 +9,10 @@ which leaves order and ties unchanged) is reduced right away to
 metric then runs per weight point with no single-partition step.
 
 ``coarse_bins`` quantises the blended score before the aggregation (the
-shuffle is then bounded by grid x bins whatever the row count); the best
-``refine`` weight points are re-scored exactly.
+shuffle is then bounded by grid x bins whatever the row count); the grid is
+cut into chunks of points so each map task aggregates only its chunk's
+points (:func:`coarse_counts`); the best ``refine`` weight points are
+re-scored exactly.
 
 The winner is the highest metric, first in grid order on ties (metrics
 compared at 12 decimals so summation order cannot reorder true ties).
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from raretide.operators.metrics import average_precision, roc_auc
+from raretide.operators.metrics import ap_from_counts, auc_from_counts, average_precision, roc_auc
 from raretide.operators.ordered import default_buckets
 
 
@@ -70,6 +72,44 @@ def blended(models: list[str], weights: list[str] | None = None) -> Column:
     return total
 
 
+def grid_points(n_models: int, steps: int) -> list[tuple[int, ...]]:
+    """All integer points ``(i_1..i_m)`` with ``sum = steps``, in grid order."""
+    if n_models == 1:
+        return [(steps,)]
+    return [(i,) + rest for i in range(steps + 1) for rest in grid_points(n_models - 1, steps - i)]
+
+
+def coarse_counts(wide: DataFrame, models: list[str], steps: int, coarse_bins: int,
+                  label: str = "target") -> DataFrame:
+    """``w1..wm, blend, pos, n``: rows per (grid point, quantised blend).
+
+    The grid is cut into chunks of points (a literal table, its size fixed by
+    the parameters); every row is sent once to each chunk and only that
+    chunk's points are generated there, so a map task's partial aggregation
+    holds ``points / chunks x bins`` groups instead of the whole grid's.
+    Rows of a chunk are spread over salt partitions (one per
+    ``ROWS_PER_TASK`` counted rows), so no task takes an unbounded share.
+    """
+    spark = wide.sparkSession
+    names = weight_names(len(models))
+    pts = grid_points(len(models), steps)
+    width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    n_chunks = max(1, min(width, len(pts)))
+    salts = max(1, -(-wide.count() // ROWS_PER_TASK))
+    table = F.array(*[F.array(*[F.struct(*[F.lit(w).alias(nm) for w, nm in zip(p, names)])
+                                for p in pts[c::n_chunks]]) for c in range(n_chunks)])
+    salt = F.pmod(F.xxhash64(label, *models), F.lit(salts)) if salts > 1 else F.lit(0)
+    rep = (wide.select(label, *models, salt.alias("__salt"),
+                       F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("__c"))
+               .repartition(2 * n_chunks * salts, "__c", "__salt"))
+    g = rep.select(label, *models, F.explode(F.element_at(table, F.col("__c") + 1)).alias("__w")) \
+        .select(label, *models, "__w.*")
+    # Scores are probabilities/ranks on a bounded range; the blend is in [0, steps].
+    score = F.floor(blended(models, names) / steps * coarse_bins)
+    return g.groupBy(*names, score.alias("blend")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
+
+
 def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target",
                 coarse_bins: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """``w1..wm, metric`` for every grid point (exact unless ``coarse_bins``)."""
@@ -80,15 +120,14 @@ def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "a
         n_points = grid_size(len(models), steps)
         n_buckets = (default_buckets(wide.sparkSession, n_points) if coarse_bins
                      else point_buckets(wide, n_points))
-    g = with_grid(wide.select(label, *models), len(models), steps)
-    score = blended(models, names)
     if coarse_bins:
-        # Scores are probabilities/ranks on a bounded range; the blend is in [0, steps].
-        score = F.floor(score / steps * coarse_bins)
-    g = g.select(*names, label, score.alias("blend"))
+        counts = coarse_counts(wide, models, steps, coarse_bins, label)
+        fn = ap_from_counts if metric == "ap" else auc_from_counts
+        return fn(counts, names, "blend", n_buckets=n_buckets, alias="metric")
+    g = with_grid(wide.select(label, *models), len(models), steps)
+    g = g.select(*names, label, blended(models, names).alias("blend"))
     if metric == "ap":
-        return average_precision(g, names, "blend", label, n_buckets=n_buckets, alias="metric",
-                                 many_ties=bool(coarse_bins))
+        return average_precision(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
     return roc_auc(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
 
 

@@ -42,7 +42,12 @@ def average_precision(df: DataFrame, keys: list[str], score: str = "score", labe
         return run.groupBy(*keys).agg(
             F.try_divide(F.sum(F.when(F.col("__y") == 1, F.col("__cp") / F.col("__cn"))),
                          F.sum("__y").cast("double")).alias(alias))
-    sc = score_counts(df, keys, score, label)
+    return ap_from_counts(score_counts(df, keys, score, label), keys, score, n_buckets, alias)
+
+
+def ap_from_counts(sc: DataFrame, keys: list[str], score: str = "score", n_buckets: int | None = None,
+                   alias: str = "ap") -> DataFrame:
+    """Average precision from ``(keys, score) -> pos, n`` rows (one per distinct score)."""
     run = prefix_sums(sc, keys, [score], ["pos", "n"], descending=True, n_buckets=n_buckets)
     term = F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))
     return run.groupBy(*keys).agg(
@@ -51,7 +56,13 @@ def average_precision(df: DataFrame, keys: list[str], score: str = "score", labe
 
 def roc_auc(df: DataFrame, keys: list[str], score: str = "score", label: str = "target",
             n_buckets: int | None = None, alias: str = "auc") -> DataFrame:
-    sc = score_counts(df, keys, score, label).withColumn("neg", F.col("n") - F.col("pos"))
+    return auc_from_counts(score_counts(df, keys, score, label), keys, score, n_buckets, alias)
+
+
+def auc_from_counts(sc: DataFrame, keys: list[str], score: str = "score", n_buckets: int | None = None,
+                    alias: str = "auc") -> DataFrame:
+    """ROC-AUC from ``(keys, score) -> pos, n`` rows (one per distinct score)."""
+    sc = sc.withColumn("neg", F.col("n") - F.col("pos"))
     run = prefix_sums(sc, keys, [score], ["neg", "pos"], n_buckets=n_buckets)
     term = F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)
     agg = run.groupBy(*keys).agg(F.sum(term).alias("__t"), F.first("tot_pos").alias("__p"),

@@ -101,3 +101,19 @@ def test_rank_norm_and_interp(spark):
         xs, ys = [0.1, 0.2, 0.5], [0.2, 0.5, 0.8]
         for pid, x in [(10, 0.0), (11, 0.9), (12, 0.2), (13, 0.35)]:
             assert got[pid] == pytest.approx(float(np.interp(x, xs, ys)))
+
+
+def test_coarse_grid_matches_brute_force(spark):
+    from raretide.operators import blend
+    rnd = random.Random(11)
+    rows = [(int(rnd.random() < 0.2), rnd.random(), rnd.random(), round(rnd.random(), 1)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "target int, a double, b double, c double")
+    steps, bins = 10, 64
+    got = {(r["w1"], r["w2"], r["w3"]): r["metric"]
+           for r in blend.grid_metric(df, ["a", "b", "c"], steps, "ap", coarse_bins=bins).collect()}
+    pts = blend.grid_points(3, steps)
+    assert len(got) == len(pts) == blend.grid_size(3, steps)
+    y = [r[0] for r in rows]
+    for w in pts:
+        s = [float(np.floor((w[0] * a + w[1] * b + w[2] * c) / steps * bins)) for _, a, b, c in rows]
+        assert got[w] == pytest.approx(brute_ap(y, s), abs=1e-12)
