@@ -79,31 +79,47 @@ def grid_points(n_models: int, steps: int) -> list[tuple[int, ...]]:
     return [(i,) + rest for i in range(steps + 1) for rest in grid_points(n_models - 1, steps - i)]
 
 
-def coarse_counts(wide: DataFrame, models: list[str], steps: int, coarse_bins: int,
-                  label: str = "target") -> DataFrame:
-    """``w1..wm, blend, pos, n``: rows per (grid point, quantised blend).
+def chunked_grid(wide: DataFrame, models: list[str], steps: int, label: str = "target",
+                 salts: int = 1) -> DataFrame:
+    """``__c, label, models..., w1..wm``: every row once per grid point, generated by chunk.
 
     The grid is cut into chunks of points (a literal table, its size fixed by
-    the parameters); every row is sent once to each chunk and only that
-    chunk's points are generated there, so a map task's partial aggregation
-    holds ``points / chunks x bins`` groups instead of the whole grid's.
-    Rows of a chunk are spread over salt partitions (one per
-    ``ROWS_PER_TASK`` counted rows), so no task takes an unbounded share.
+    the parameters); every row is sent once to each chunk (a shuffle of rows
+    x chunks, not rows x points) and only that chunk's points are generated
+    there.  With ``salts == 1`` the output stays hash-partitioned by the chunk
+    ``__c``, so a window or aggregation keyed by ``(__c, w1..wm)`` needs no
+    further shuffle; ``salts > 1`` spreads a chunk's rows over that many
+    partitions.
     """
     spark = wide.sparkSession
     names = weight_names(len(models))
     pts = grid_points(len(models), steps)
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     n_chunks = max(1, min(width, len(pts)))
-    salts = max(1, -(-wide.count() // ROWS_PER_TASK))
     table = F.array(*[F.array(*[F.struct(*[F.lit(w).alias(nm) for w, nm in zip(p, names)])
                                 for p in pts[c::n_chunks]]) for c in range(n_chunks)])
-    salt = F.pmod(F.xxhash64(label, *models), F.lit(salts)) if salts > 1 else F.lit(0)
-    rep = (wide.select(label, *models, salt.alias("__salt"),
-                       F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("__c"))
-               .repartition(2 * n_chunks * salts, "__c", "__salt"))
-    g = rep.select(label, *models, F.explode(F.element_at(table, F.col("__c") + 1)).alias("__w")) \
-        .select(label, *models, "__w.*")
+    rep = wide.select(label, *models, F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("__c"))
+    if salts > 1:
+        rep = rep.withColumn("__salt", F.pmod(F.xxhash64(label, *models), F.lit(salts))) \
+            .repartition(2 * n_chunks * salts, "__c", "__salt")
+    else:
+        rep = rep.repartition(2 * n_chunks, "__c")
+    return rep.select("__c", label, *models, F.explode(F.element_at(table, F.col("__c") + 1)).alias("__w")) \
+        .select("__c", label, *models, "__w.*")
+
+
+def coarse_counts(wide: DataFrame, models: list[str], steps: int, coarse_bins: int,
+                  label: str = "target") -> DataFrame:
+    """``w1..wm, blend, pos, n``: rows per (grid point, quantised blend).
+
+    Generated by chunk (:func:`chunked_grid`), so a map task's partial
+    aggregation holds ``points / chunks x bins`` groups instead of the whole
+    grid's; a chunk's rows are salted over one partition per
+    ``ROWS_PER_TASK`` counted rows, so no task takes an unbounded share.
+    """
+    names = weight_names(len(models))
+    salts = max(1, -(-wide.count() // ROWS_PER_TASK))
+    g = chunked_grid(wide, models, steps, label, salts)
     # Scores are probabilities/ranks on a bounded range; the blend is in [0, steps].
     score = F.floor(blended(models, names) / steps * coarse_bins)
     return g.groupBy(*names, score.alias("blend")).agg(
@@ -124,6 +140,11 @@ def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "a
         counts = coarse_counts(wide, models, steps, coarse_bins, label)
         fn = ap_from_counts if metric == "ap" else auc_from_counts
         return fn(counts, names, "blend", n_buckets=n_buckets, alias="metric")
+    if metric == "ap" and n_buckets <= 1:
+        # Every point fits one task: the rows are shuffled once per chunk and
+        # each point's window runs where its rows were generated.
+        g = chunked_grid(wide, models, steps, label).select("__c", *names, label, blended(models, names).alias("blend"))
+        return average_precision(g, ["__c"] + names, "blend", label, n_buckets=1, alias="metric").drop("__c")
     g = with_grid(wide.select(label, *models), len(models), steps)
     g = g.select(*names, label, blended(models, names).alias("blend"))
     if metric == "ap":
