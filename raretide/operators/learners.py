@@ -101,13 +101,21 @@ def best_iteration(model, valid: DataFrame) -> int:
 
 def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m: Member, k: int, spw: float,
               synthetic: DataFrame | None = None, seed: int = 42, label: str = "target", fold_col: str = "fold",
-              early_stop: bool = False, extra_train: DataFrame | None = None) -> CVResult:
-    """Out-of-fold scores of ``m`` over ``k`` folds (optionally with SMOTE rows and extra rows)."""
+              early_stop: bool = False, extra_train: DataFrame | None = None,
+              parallelism: int | None = None) -> CVResult:
+    """Out-of-fold scores of ``m`` over ``k`` folds (optionally with SMOTE rows and extra rows).
+
+    The ``k`` fits are independent Spark jobs; they are submitted from
+    ``parallelism`` driver threads (default ``k``, like ``CrossValidator``'s
+    ``parallelism``) so the small per-iteration stages of one fit interleave
+    with the others' instead of leaving executors idle.
+    """
     va = assembler(features)
     base = with_weight(train.select("id", fold_col, label, *features), spw, label)
     tst = va.transform(test.select("id", *features)) if test is not None else None
-    oofs, tests, iters = [], [], {}
-    for f in range(k):
+    iters = {}
+
+    def fit_fold(f: int):
         fit_rows = base.filter(F.col(fold_col) != f).select("id", label, *features)
         if synthetic is not None:
             fit_rows = fit_rows.unionByName(
@@ -123,6 +131,12 @@ def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m:
             iters[f] = best
             if best < m.max_iter:
                 model = Member(m.name, m.params, best).estimator(seed).fit(fit_rows)
+        return model, val
+
+    with ThreadPoolExecutor(max_workers=max(1, min(k, parallelism or k))) as pool:
+        fitted = list(pool.map(fit_fold, range(k)))
+    oofs, tests = [], []
+    for f, (model, val) in enumerate(fitted):
         oofs.append(positive_score(model.transform(val)).select(
             "id", F.col(fold_col).cast("int").alias("fold"), F.col(label).cast("int").alias("target"),
             F.lit(m.name).alias("model"), "score"))
