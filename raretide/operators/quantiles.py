@@ -5,9 +5,9 @@ merges them in one task; at scale that is a single-task bottleneck.  Here:
 
 1. ``groupBy(key, value).count()`` - distinct values, map-side combined;
 2. running counts per key in value order (:func:`ordered.prefix_sums`);
-3. the wanted positions ``q * (n - 1)`` (floor and ceil) form a tiny table
-   (keys x probabilities) that is joined to the value ranges
-   ``[cum - count, cum)`` that contain them;
+3. every distinct value keeps the wanted positions ``q * (n - 1)`` (floor
+   and ceil) that fall in its range ``[cum - count, cum)`` (a filter over
+   the literal probability list; no join);
 4. ``lo + (pos - floor) * (hi - lo)``.
 
 Same answer as ``numpy.percentile(..., method="linear")`` and DuckDB
@@ -17,7 +17,7 @@ one cheap pass when exactness is not needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raretide.operators.ordered import prefix_sums
@@ -32,21 +32,28 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     counts = (df.filter(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
     ranked = prefix_sums(counts, keys, [value], ["n"], n_buckets=n_buckets)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("tot"))
+    # Each distinct value covers the 0-based positions [cum_n - n, cum_n).  A
+    # value row keeps only the probabilities whose floor or ceil position it
+    # covers (a filter over the small literal list), so no join is needed.
+    start, end = F.col("cum_n") - F.col("n"), F.col("cum_n")
     qs = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(q)).alias("q")) for i, q in enumerate(probs)])
-    targets = (totals.select(*keys, "tot", F.explode(qs).alias("t"))
-               .select(*keys, "t.q_idx", "t.q", (F.col("t.q") * (F.col("tot") - 1)).alias("pos")))
-    ends = targets.select(*keys, "q_idx", "q", "pos",
-                          F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long"))).alias("at"))
-    hit = ranked.alias("r").join(
-        ends.alias("e"),
-        [F.col(f"r.{k}") == F.col(f"e.{k}") for k in keys]
-        + [F.col("e.at") >= F.col("r.cum_n") - F.col("r.n"), F.col("e.at") < F.col("r.cum_n")],
-    ).select(*[F.col(f"e.{k}") for k in keys], "e.q_idx", "e.q", "e.pos", "e.at", F.col(f"r.{value}").alias("v"))
-    return (hit.groupBy(*keys, "q_idx", "q", "pos")
-               .agg(F.min_by("v", "at").alias("lo"), F.max_by("v", "at").alias("hi"))
-               .select(*keys, "q_idx", "q",
-                       (F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))).alias("quantile")))
+
+    def pos(t: Column) -> Column:
+        return t["q"] * (F.col("tot_n") - 1)
+
+    def covers(at: Column) -> Column:
+        return (at >= start) & (at < end)
+
+    hits = F.filter(qs, lambda t: covers(F.floor(pos(t))) | covers(F.ceil(pos(t))))
+    rows = ranked.select(*keys, value, start.alias("__s"), end.alias("__e"), "tot_n", F.explode(hits).alias("t"))
+    p_ = F.col("t.q") * (F.col("tot_n") - 1)
+    in_ = lambda at: (at >= F.col("__s")) & (at < F.col("__e"))
+    lo = F.when(in_(F.floor(p_)), F.col(value))
+    hi = F.when(in_(F.ceil(p_)), F.col(value))
+    agg = rows.groupBy(*keys, "t.q_idx", "t.q").agg(F.max(lo).alias("lo"), F.max(hi).alias("hi"),
+                                                    F.first(p_).alias("pos"))
+    return agg.select(*keys, "q_idx", "q",
+                      (F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))).alias("quantile"))
 
 
 def approx_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
