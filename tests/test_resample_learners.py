@@ -26,6 +26,23 @@ def test_knn_exact_vs_brute_force(spark):
                     assert got[(tf, i, rank)] == j
 
 
+def test_knn_ties_and_one_dimension(spark):
+    """Integer coordinates (exact distances, many ties broken by id) and a 1-D case."""
+    from raretide.operators import resample
+    rnd = random.Random(8)
+    for dims in (1, 3):
+        rows = [(i, i % 2, [float(rnd.randint(0, 4)) for _ in range(dims)]) for i in range(80)]
+        g = spark.createDataFrame(rows, "id long, fold int, vec array<double>").withColumn("target", F.lit(1))
+        groups = resample.minority_groups(g, 2)
+        got = {(r.tf, r.id, r.rank): r.nn_id for r in resample.knn(groups, 5, window=2, n_buckets=3).collect()}
+        for tf in range(2):
+            pts = [(i, v) for i, f, v in rows if f != tf]
+            for i, v in pts:
+                d = sorted((sum((a - b) ** 2 for a, b in zip(v, w)), j) for j, w in pts if j != i)
+                for rank, (_, j) in enumerate(d[:5], start=1):
+                    assert got[(tf, i, rank)] == j
+
+
 def test_smote_rows_on_segments_and_counts(spark):
     from raretide.operators import folds, resample
     rnd = random.Random(9)
