@@ -116,7 +116,6 @@ def features_stage(spark: SparkSession, sf_dir: str, cfg: PlanConfig) -> tuple[D
     """The prepared train/test tables as a stage: ``(train, test, features, spw, key)``."""
     key = fingerprint(sf_dir, cfg.key())
     train, test = train_test(spark, sf_dir)
-    spw = float(profile.target_profile(train).first()["scale_pos_weight"])
 
     def build_features() -> DataFrame:
         # The engineered tables are written first: the encoder and imputer fits
@@ -131,6 +130,8 @@ def features_stage(spark: SparkSession, sf_dir: str, cfg: PlanConfig) -> tuple[D
     feats = [c for c in both.columns if c not in META + ("__side",)]
     tr = both.filter(F.col("__side") == "train").drop("__side")
     ts = both.filter(F.col("__side") == "test").select("id", *feats)
+    # From the written stage: the entity joins are not run again for it.
+    spw = float(profile.target_profile(tr).first()["scale_pos_weight"])
     return tr, ts, feats, spw, key
 
 
