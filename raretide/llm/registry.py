@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from raretide.llm import simhash
+from raretide.llm import decontaminate, mixing, quality, simhash
 
 QUERIES = {
+    "op6_benchmark_leaks": decontaminate.op6_benchmark_leaks,
+    "op10_quality_ranking": quality.op10_quality_ranking,
+    "op4_source_mix": mixing.op4_source_mix,
     "op7_simhash_components": simhash.op7_simhash_components,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_source_mix": mixing.SQL,
+}
