@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from raretide.llm import decontaminate, mixing, quality, simhash
+from raretide.llm import decontaminate, langid, licenses, mixing, quality, secrets, simhash
 
 QUERIES = {
+    "op5_language_codes": langid.op5_language_codes,
+    "op8_secret_findings": secrets.op8_secret_findings,
+    "op9_license_sentences": licenses.op9_license_sentences,
     "op6_benchmark_leaks": decontaminate.op6_benchmark_leaks,
     "op10_quality_ranking": quality.op10_quality_ranking,
     "op4_source_mix": mixing.op4_source_mix,
@@ -13,4 +16,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_source_mix": mixing.SQL,
+    "op9_license_sentences": licenses.SQL,
 }
