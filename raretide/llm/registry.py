@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from raretide.llm import decontaminate, langid, licenses, mixing, quality, secrets, simhash
+from raretide.llm import decontaminate, langid, licenses, maxscore, mixing, quality, secrets, simhash, suffixes, warc
 
 QUERIES = {
+    "op1_warc_normaliser": warc.op1_warc_normaliser,
+    "op2_suffix_repeats": suffixes.op2_suffix_repeats,
+    "op3_maxscore_top5": maxscore.op3_maxscore_top5,
     "op5_language_codes": langid.op5_language_codes,
     "op8_secret_findings": secrets.op8_secret_findings,
     "op9_license_sentences": licenses.op9_license_sentences,
@@ -15,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc_normaliser": warc.SQL,
+    "op3_maxscore_top5": maxscore.SQL,
     "op4_source_mix": mixing.SQL,
     "op9_license_sentences": licenses.SQL,
 }
