@@ -39,13 +39,15 @@ from pyspark.sql import functions as F
 
 from raretide.llm.common import stored, table
 
-THRESHOLD = 0.5
+THRESHOLD = 0.6
 SIMILAR = 0.8
 PART = 0.6
 SHINGLE = 5
-INDEX_ROWS = 500_000
-ITEMS_A_BLOCK = 16
+INDEX_ROWS = 20_000
+ITEMS_A_BLOCK = 4
 K1, B = 1.2, 0.75
+#: Steps of a text whose block sums are held at once.
+_STEPS = 256
 _FOLD = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(),
                         string.ascii_lowercase.encode() + b" " * len(string.punctuation))
 
@@ -93,11 +95,12 @@ class Index:
         self.bound = np.array([max(x) for x in self.impacts] + [0.0])
         # block bounds by item range, so that blocks of all terms line up
         blocks = len(self.ids) // ITEMS_A_BLOCK + 1
-        self.block_bound = np.zeros((len(self.docs) + 1, blocks))
+        self.block_bound = np.zeros((len(self.docs) + 1, blocks), dtype=np.float32)
         for t, (ds, xs) in enumerate(zip(self.docs, self.impacts)):
             for d, x in zip(ds, xs):
                 self.block_bound[t, d // ITEMS_A_BLOCK] = max(self.block_bound[t, d // ITEMS_A_BLOCK], x)
-        self.window, self.step = max(64, 2 * longest), max(32, longest)
+        self.step = max(32, longest)
+        self.window = 2 * self.step
 
     def search(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
         """Every item that scores the threshold or more for distinct term numbers ``query``."""
@@ -136,25 +139,41 @@ class Index:
             live = [t for t in live if at[t] < len(self.docs[t])]
         return found
 
+    def possible(self, ids: np.ndarray, threshold: float) -> Iterator[int]:
+        """Numbers of the passages with a block whose summed bounds reach the threshold.
+
+        A passage is two steps long; a step's sum counts each of its terms once.
+        """
+        last = -(-len(ids) // self.step)
+        for first in range(0, last, _STEPS):
+            here = ids[first * self.step:(first + _STEPS + 1) * self.step]
+            steps = np.arange(len(here)) // self.step
+            known = here >= 0
+            pairs = np.unique(steps[known] * len(self.bound) + here[known])
+            if not len(pairs):
+                continue
+            step, term = np.divmod(pairs, len(self.bound))
+            heads = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
+            sums = np.zeros((_STEPS + 2, self.block_bound.shape[1]), dtype=np.float32)
+            sums[step[heads]] = np.add.reduceat(self.block_bound[term], heads, axis=0)
+            most = (sums[:-1] + sums[1:]).max(axis=1)
+            yield from (first + np.flatnonzero(most[:_STEPS] >= threshold - 1e-4)).tolist()
+
     def matches(self, text: str | None, threshold: float) -> dict[int, tuple[float, float, float, float]]:
         """Item number to best (score, similarity, question, answer) of the verified passages of one text."""
         words = words_of(text)
         if not words or not self.ids:
             return {}
         ids = np.fromiter(map(self.terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        sums = np.concatenate(([0.0], np.cumsum(self.bound[ids])))
-        starts = np.arange(0, max(1, len(words) - self.window + self.step), self.step)
-        ends = np.minimum(starts + self.window, len(words))
         best: dict[int, tuple[float, float, float, float]] = {}
-        for i in np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-6):
-            query = np.unique(ids[starts[i]:ends[i]])
+        for i in self.possible(ids, threshold):
+            lo, hi = i * self.step, i * self.step + self.window
+            query = np.unique(ids[lo:hi])
             query = query[query >= 0]
-            if self.bound[query].sum() < threshold - 1e-9:
-                continue
             hits = self.search(query.tolist(), threshold)
             if not hits:
                 continue
-            part = words[starts[i]:ends[i]]
+            part = words[lo:hi]
             grams = {tuple(part[j:j + k]) for k in {SHINGLE, *(len(next(iter(self.checks[d][0]))) for d, _ in hits)}
                      for j in range(len(part) - k + 1)}
             there = set(part)
