@@ -81,8 +81,7 @@ def main() -> None:
     timed("op_folds", lambda: noop(catalog.q_stratified_folds(spark, sf_dir)))
     timed("op_metrics", lambda: noop(metrics.metric_by_fold(fixture.oof_long(spark, sf_dir), ["model"])))
     timed("op_blend3_exact", lambda: noop(catalog.q_blend3_ap(spark, sf_dir)))
-    timed("op_blend4_coarse_fine", lambda: blend.search(fixture.oof_wide(spark, sf_dir), fixture.MODELS, 20, "ap",
-                                                        coarse_bins=4096).collect())
+    timed("op_blend4_search", lambda: blend.search(fixture.oof_wide(spark, sf_dir), fixture.MODELS, 20, "ap").collect())
     timed("op_rank_norm_test", lambda: noop(catalog.q_rank_norm_test(spark, sf_dir)))
     timed("op_smote_knn", lambda: noop(catalog.q_smote_knn(spark, sf_dir)))
 

@@ -1,18 +1,17 @@
 """Weight-grid blending of model scores, scored by a ranking metric.
 
 Weights are integer points ``(i_1..i_m)`` with ``sum = steps`` (the simplex
-at step ``1/steps``; for two models ``i_1`` runs 0..steps).  The grid is
-generated per row with nested ``explode(sequence(...))`` - a Generate, not a
-join - and the blended score ``sum i_j * s_j`` (the weights times ``steps``,
-which leaves order and ties unchanged) is reduced right away to
-``(weights, blend) -> (pos, n)`` with map-side partial aggregation.  The
-metric then runs per weight point with no single-partition step.
-
-``coarse_bins`` quantises the blended score before the aggregation (the
-shuffle is then bounded by grid x bins whatever the row count); the grid is
-cut into chunks of points so each map task aggregates only its chunk's
-points (:func:`coarse_counts`); the best ``refine`` weight points are
-re-scored exactly.
+at step ``1/steps``; for two models ``i_1`` runs 0..steps).
+
+:func:`search` finds the exact best point without ordering the rows of every
+point.  Each task counts its rows per (point, score bin); the summed histogram
+of a point bounds its metric from below and above (worst and best order within
+the bins).  Points whose upper bound is below the best lower bound cannot win
+and go; the others are counted again in finer bins while that still removes
+points, and what remains is scored exactly.  The histograms' size is points x
+bins per task, whatever the number of rows, and no number of survivors is set.
+
+:func:`grid_metric` scores every point exactly (a report of the whole grid).
 
 The winner is the highest metric, first in grid order on ties (metrics
 compared at 12 decimals so summation order cannot reorder true ties).
@@ -20,36 +19,29 @@ compared at 12 decimals so summation order cannot reorder true ties).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from raretide.operators.metrics import ap_from_counts, auc_from_counts, average_precision, roc_auc
-from raretide.operators.ordered import default_buckets
+from raretide.operators.metrics import average_precision, roc_auc
 
 
 def weight_names(n_models: int) -> list[str]:
     return [f"w{j + 1}" for j in range(n_models)]
 
 
-# Rows of one grid point that one window task may order on the exact path;
-# more input rows than this split every point into value-range buckets.
-ROWS_PER_TASK = 4_000_000
-
-
-def point_buckets(wide: DataFrame, n_points: int) -> int:
-    """Buckets per grid point for the exact path, from a counted input size.
+# Rows of one grid point per value-range bucket on the exact path.
+ROWS_PER_BUCKET = 1_000_000
+# Score bins of the first bounding pass, their growth per pass, and the most.
+FIRST_BINS, BIN_GROWTH, MOST_BINS = 256, 8, 1 << 17
 
-    The shuffle width spread over the points (many points already fill the
-    cluster), but never fewer than one bucket per ``ROWS_PER_TASK`` rows, so
-    no task orders an unbounded share of the data.
-    """
-    n = wide.count()
-    return max(default_buckets(wide.sparkSession, n_points), -(-n // ROWS_PER_TASK))
 
-
-def grid_size(n_models: int, steps: int) -> int:
-    from math import comb
-    return comb(steps + n_models - 1, n_models - 1)
+def point_buckets(wide: DataFrame) -> int:
+    """Value-range buckets per grid point, in proportion to the counted rows."""
+    return max(1, -(-wide.count() // ROWS_PER_BUCKET))
 
 
 def with_grid(df: DataFrame, n_models: int, steps: int) -> DataFrame:
@@ -79,77 +71,96 @@ def grid_points(n_models: int, steps: int) -> list[tuple[int, ...]]:
     return [(i,) + rest for i in range(steps + 1) for rest in grid_points(n_models - 1, steps - i)]
 
 
-def chunked_grid(wide: DataFrame, models: list[str], steps: int, label: str = "target",
-                 salts: int = 1) -> DataFrame:
-    """``__c, label, models..., w1..wm``: every row once per grid point, generated by chunk.
-
-    The grid is cut into chunks of points (a literal table, its size fixed by
-    the parameters); every row is sent once to each chunk (a shuffle of rows
-    x chunks, not rows x points) and only that chunk's points are generated
-    there.  With ``salts == 1`` the output stays hash-partitioned by the chunk
-    ``__c``, so a window or aggregation keyed by ``(__c, w1..wm)`` needs no
-    further shuffle; ``salts > 1`` spreads a chunk's rows over that many
-    partitions.
-    """
-    spark = wide.sparkSession
-    names = weight_names(len(models))
-    pts = grid_points(len(models), steps)
-    width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    n_chunks = max(1, min(width, len(pts)))
-    table = F.array(*[F.array(*[F.struct(*[F.lit(w).alias(nm) for w, nm in zip(p, names)])
-                                for p in pts[c::n_chunks]]) for c in range(n_chunks)])
-    rep = wide.select(label, *models, F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("__c"))
-    if salts > 1:
-        rep = rep.withColumn("__salt", F.pmod(F.xxhash64(label, *models), F.lit(salts))) \
-            .repartition(2 * n_chunks * salts, "__c", "__salt")
-    else:
-        rep = rep.repartition(2 * n_chunks, "__c")
-    return rep.select("__c", label, *models, F.explode(F.element_at(table, F.col("__c") + 1)).alias("__w")) \
-        .select("__c", label, *models, "__w.*")
-
-
-def coarse_counts(wide: DataFrame, models: list[str], steps: int, coarse_bins: int,
-                  label: str = "target") -> DataFrame:
-    """``w1..wm, blend, pos, n``: rows per (grid point, quantised blend).
-
-    Generated by chunk (:func:`chunked_grid`), so a map task's partial
-    aggregation holds ``points / chunks x bins`` groups instead of the whole
-    grid's; a chunk's rows are salted over one partition per
-    ``ROWS_PER_TASK`` counted rows, so no task takes an unbounded share.
-    """
-    names = weight_names(len(models))
-    salts = max(1, -(-wide.count() // ROWS_PER_TASK))
-    g = chunked_grid(wide, models, steps, label, salts)
-    # Scores are probabilities/ranks on a bounded range; the blend is in [0, steps].
-    score = F.floor(blended(models, names) / steps * coarse_bins)
-    return g.groupBy(*names, score.alias("blend")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
-
-
 def grid_metric(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target",
-                coarse_bins: int | None = None, n_buckets: int | None = None) -> DataFrame:
-    """``w1..wm, metric`` for every grid point (exact unless ``coarse_bins``)."""
+                n_buckets: int | None = None) -> DataFrame:
+    """``w1..wm, metric`` for every grid point, exactly."""
     names = weight_names(len(models))
-    if n_buckets is None:
-        # Coarse: at most coarse_bins + 1 values per point after the map-side
-        # combine, so the points alone fill the shuffle width.
-        n_points = grid_size(len(models), steps)
-        n_buckets = (default_buckets(wide.sparkSession, n_points) if coarse_bins
-                     else point_buckets(wide, n_points))
-    if coarse_bins:
-        counts = coarse_counts(wide, models, steps, coarse_bins, label)
-        fn = ap_from_counts if metric == "ap" else auc_from_counts
-        return fn(counts, names, "blend", n_buckets=n_buckets, alias="metric")
-    if metric == "ap" and n_buckets <= 1:
-        # Every point fits one task: the rows are shuffled once per chunk and
-        # each point's window runs where its rows were generated.
-        g = chunked_grid(wide, models, steps, label).select("__c", *names, label, blended(models, names).alias("blend"))
-        return average_precision(g, ["__c"] + names, "blend", label, n_buckets=1, alias="metric").drop("__c")
+    n_buckets = n_buckets or point_buckets(wide)
     g = with_grid(wide.select(label, *models), len(models), steps)
     g = g.select(*names, label, blended(models, names).alias("blend"))
-    if metric == "ap":
-        return average_precision(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
-    return roc_auc(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
+    fn = average_precision if metric == "ap" else roc_auc
+    return fn(g, names, "blend", label, n_buckets=n_buckets, alias="metric")
+
+
+def _blend_values(columns: list[np.ndarray], point: tuple[int, ...]) -> np.ndarray:
+    """The same sum in the same order as :func:`blended`, so that both order the rows alike."""
+    total = float(point[0]) * columns[0]
+    for w, c in zip(point[1:], columns[1:]):
+        total = total + float(w) * c
+    return total
+
+
+def _bounds(pos: np.ndarray, n: np.ndarray, metric: str) -> tuple[float, float]:
+    """Least and greatest metric that a histogram (ascending score bins) allows."""
+    pos, n = pos[::-1].astype(np.float64), n[::-1].astype(np.float64)
+    neg = n - pos
+    if metric == "auc":
+        below = neg.sum() - np.cumsum(neg)
+        pairs = max(1.0, pos.sum() * neg.sum())
+        sure = float((pos * below).sum())
+        return sure / pairs, (sure + float((pos * neg).sum())) / pairs
+    p0, n0 = np.cumsum(pos) - pos, np.cumsum(n) - n
+    some = pos > 0
+    p, q, a, b = pos[some], neg[some], p0[some], n0[some]
+    high = p * (a + p) / (b + p)
+    # negatives first: the sum of (a + i) / (b + q + i) over i = 1..p
+    start = b + q
+    loss = (a - start) * np.where(start > 0, np.log1p(p / np.maximum(start, 1e-300)), 0.0)
+    low = np.maximum(p + loss, p * (a + 1) / (start + 1))
+    whole = max(1.0, pos.sum())
+    return float(low.sum()) / whole, float(high.sum()) / whole
+
+
+def metric_bounds(wide: DataFrame, models: list[str], points: list[tuple[int, ...]], bins: int, ends: list[tuple[float, float]],
+                  metric: str, label: str = "target") -> list[tuple[float, float]]:
+    """(least, greatest) metric of every point, from one histogram of ``bins`` score bins per point and task."""
+    spans = [(sum(w * lo for w, (lo, _) in zip(p, ends)), sum(w * hi for w, (_, hi) in zip(p, ends))) for p in points]
+    parts = max(1, len(points) // 64)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros((len(points), 2 * bins), dtype=np.int64)
+        for b in batches:
+            columns, y = [b[m].to_numpy(dtype=np.float64) for m in models], b[label].to_numpy(dtype=np.int64)
+            for i, p in enumerate(points):
+                lo, hi = spans[i]
+                at = np.clip((_blend_values(columns, p) - lo) * (bins / (hi - lo)) if hi > lo else np.zeros(len(y)), 0, bins - 1)
+                table[i] += np.bincount(2 * at.astype(np.int64) + y, minlength=2 * bins)
+        for i, row in enumerate(table):
+            at = np.flatnonzero(row)
+            if len(at):
+                yield pd.DataFrame({"part": [i % parts], "point": [i], "at": [at.astype(np.int32).tobytes()], "n": [row[at].tobytes()]})
+
+    def bound(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for i, rows in group.groupby("point"):
+            total = np.zeros(2 * bins, dtype=np.int64)
+            for at, n in zip(rows["at"], rows["n"]):
+                total[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int64)
+            out.append((i, *_bounds(total[1::2], total[::2] + total[1::2], metric)))
+        return pd.DataFrame(out, columns=["point", "low", "high"])
+
+    counts = wide.select(label, *models).mapInPandas(count, "part int, point int, at binary, n binary")
+    rows = counts.groupBy("part").applyInPandas(bound, "point int, low double, high double").collect()  # one row per point
+    got = {r.point: (r.low, r.high) for r in rows}
+    return [got.get(i, (0.0, 0.0)) for i in range(len(points))]
+
+
+def surviving_points(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target",
+                     first_bins: int = FIRST_BINS) -> list[tuple[int, ...]]:
+    """Every grid point that the bounds do not rule out as the best."""
+    points, bins = grid_points(len(models), steps), first_bins
+    ends = wide.agg(*[f(m) for m in models for f in (F.min, F.max)]).first()
+    if ends[0] is None:
+        return points[:1]
+    pairs = [(float(ends[2 * i]), float(ends[2 * i + 1])) for i in range(len(models))]
+    while len(points) > 1 and bins <= MOST_BINS:
+        bounds = metric_bounds(wide, models, points, bins, pairs, metric, label)
+        best = max(low for low, _ in bounds)
+        left = [p for p, (_, high) in zip(points, bounds) if high >= best - 1e-9]
+        if len(left) == len(points):
+            break
+        points, bins = left, bins * BIN_GROWTH
+    return points
 
 
 def best_weights(grid: DataFrame, n_models: int) -> DataFrame:
@@ -157,19 +168,15 @@ def best_weights(grid: DataFrame, n_models: int) -> DataFrame:
     return grid.orderBy(F.round("metric", 12).desc(), *[F.col(n).asc() for n in names]).limit(1)
 
 
-def search(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target",
-           coarse_bins: int | None = None, refine: int = 20) -> DataFrame:
-    """Best grid point; with ``coarse_bins`` a coarse pass then exact re-scoring of the top ``refine``."""
+def search(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target") -> DataFrame:
+    """The best grid point, ``w1..wm, metric``: bounds first, then exact scores of the survivors."""
     names = weight_names(len(models))
-    if not coarse_bins:
-        return best_weights(grid_metric(wide, models, steps, metric, label), len(models))
-    coarse = grid_metric(wide, models, steps, metric, label, coarse_bins=coarse_bins)
-    top = coarse.orderBy(F.col("metric").desc(), *names).limit(refine).select(*names).collect()  # <= refine rows
-    points = F.array(*[F.struct(*[F.lit(int(r[n])).alias(n) for n in names]) for r in top])
-    fine = wide.select(label, *models, F.explode(points).alias("__w")).select(label, *models, "__w.*")
+    left = surviving_points(wide, models, steps, metric, label)
+    points = F.array(*[F.struct(*[F.lit(int(w)).alias(n) for n, w in zip(names, p)]) for p in left])
+    rows = wide.select(label, *models, F.explode(points).alias("__w")).select(label, *models, "__w.*")
     fn = average_precision if metric == "ap" else roc_auc
-    exact = fn(fine.select(*names, label, blended(models, names).alias("blend")), names, "blend", label,
-               n_buckets=point_buckets(wide, len(top)), alias="metric")
+    exact = fn(rows.select(*names, label, blended(models, names).alias("blend")), names, "blend", label,
+               n_buckets=point_buckets(wide), alias="metric")
     return best_weights(exact, len(models))
 
 

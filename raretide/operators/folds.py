@@ -47,11 +47,3 @@ def fold_sizes(folded: DataFrame, label: str = "target", fold_col: str = "fold")
     return per.join(tot, label).select(
         fold_col, label, F.col("n_val").cast("long").alias("n_val"),
         (F.col("n_all") - F.col("n_val")).cast("long").alias("n_train"))
-
-
-def train_rows(folded: DataFrame, fold: int, fold_col: str = "fold") -> DataFrame:
-    return folded.filter(F.col(fold_col) != fold)
-
-
-def valid_rows(folded: DataFrame, fold: int, fold_col: str = "fold") -> DataFrame:
-    return folded.filter(F.col(fold_col) == fold)

@@ -210,14 +210,10 @@ def sample_params(n_trials: int, seed: int = 42, space: dict | None = None) -> l
 
 
 def random_search(train: DataFrame, features: list[str], base: Member, k: int, spw: float, n_trials: int,
-                  seed: int = 42, parallelism: int = 2, synthetic: DataFrame | None = None,
-                  max_depth_cap: int | None = None) -> DataFrame:
+                  seed: int = 42, parallelism: int = 2, synthetic: DataFrame | None = None) -> DataFrame:
     """Mean inner-CV AP per trial; trials run as concurrent Spark jobs from a thread pool."""
     spark = train.sparkSession
     trials = sample_params(n_trials, seed)
-    if max_depth_cap:
-        for t in trials:
-            t["maxDepth"] = min(t["maxDepth"], max_depth_cap)
 
     def run(i_p):
         i, p = i_p

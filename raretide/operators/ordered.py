@@ -59,8 +59,13 @@ def bucket_bounds(df: DataFrame, keys: list[str], value: str, n_buckets: int,
 
 
 def bucket_of(value: Column, bounds: Column) -> Column:
-    """Number of bounds strictly below ``value``: monotone in ``value``."""
-    return F.size(F.filter(bounds, lambda b: b < value))
+    """Number of bounds strictly below ``value``: monotone in ``value``.
+
+    A binary search over the ascending bounds (up to 2**16 of them), so the
+    cost per row does not follow the cluster's width.
+    """
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(17))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < value, at + step).otherwise(at))
 
 
 def _assign(df: DataFrame, keys: list[str], value: Column, n_buckets: int) -> DataFrame:

@@ -206,11 +206,9 @@ def q_fold_sizes(spark, sf):
 
 def q_class_weights(spark, sf):
     train, _ = split(spark, sf)
-    spw = profile.target_profile(train).select("scale_pos_weight")
-    w = train.select("id", "target").withColumn("__one", F.lit(1)).join(
-        spw.withColumn("__one", F.lit(1)), "__one")
-    return _round_doubles(w.select("id", "target", F.when(F.col("target") == 1, F.col("scale_pos_weight"))
-                                   .otherwise(F.lit(1.0)).alias("weight")))
+    from raretide.operators import learners
+    spw = profile.target_profile(train).first()["scale_pos_weight"]  # one number
+    return _round_doubles(learners.with_weight(train.select("id", "target"), spw).select("id", "target", "weight"))
 
 
 # ---------------------------------------------------------------- metrics
@@ -247,6 +245,30 @@ def q_blend4_ap(spark, sf):
     return _grid(spark, sf, MODELS, 20, "ap")
 
 
+def _searched(spark, sf, models):
+    best = blend.search(oof_wide(spark, sf), models, 20, "ap")
+    return best.select(*blend.weight_names(len(models)), r6("metric").alias("metric"))
+
+
+def q_blend_search3(spark, sf):
+    return _searched(spark, sf, ["m1", "m2", "m3"])
+
+
+def q_blend_search4(spark, sf):
+    return _searched(spark, sf, MODELS)
+
+
+def q_scan_csv(spark, sf):
+    """The fixture entities through a CSV whose columns stand in another order."""
+    import uuid
+    from raretide.session import checkpoint_root
+    from raretide.sources import entities
+    path = f"{checkpoint_root(spark)}/scan-{uuid.uuid4().hex}"
+    ent = entity_features(spark, sf)
+    ent.select(*reversed(ent.columns)).write.option("header", True).option("nullValue", "NA").csv(path)
+    return entities.scan_csv(spark, path, entities.entity_schema(len(FEATURES)))
+
+
 def q_blend_apply(spark, sf):
     models = ["m1", "m2", "m3"]
     best = blend.search(oof_wide(spark, sf), models, 20, "ap").first()  # one row
@@ -358,6 +380,9 @@ SQL_QUERIES: dict[str, Query] = {
     "pseudo_gate": q_pseudo_gate,
     "smote_knn": q_smote_knn,
     "smote_check": q_smote_check,
+    "blend_search3": q_blend_search3,
+    "blend_search4": q_blend_search4,
+    "scan_csv": q_scan_csv,
 }
 # ---------------------------------------------------------------- rows-only (learners, draws, sinks)
 def _plan(spark, sf):
@@ -426,8 +451,7 @@ def q_random_search(spark, sf):
     from raretide.operators import learners
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
     folded = folds.stratified_folds(tr.drop("fold"), 3, 42, fold_col="fold")
-    return learners.random_search(folded, feats, learners.member("lgb", 5), 3, spw, n_trials=3, parallelism=3,
-                                  max_depth_cap=6)
+    return learners.random_search(folded, feats, learners.member("lgb", 5), 3, spw, n_trials=3, parallelism=3)
 
 
 def q_isotonic(spark, sf):

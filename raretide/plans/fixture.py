@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from raretide.operators.folds import stratified_folds
 from raretide.sources.entities import FEATURES, is_test, train_test
-from raretide.sources.stages import fingerprint, stage
+from raretide.sources.stages import fingerprint, input_key, stage
 
 K_FOLDS = 5
 SEED = 42
@@ -42,18 +42,9 @@ def r6(c: Column | str) -> Column:
     return F.when(F.abs(x) >= 1e9, x).when(x < 0, down).otherwise(up) + F.lit(0.0)
 
 
-def _inputs_key(sf_dir: str) -> str:
-    """Fingerprint of the driver tables the entity view reads (path, size, mtime)."""
-    import os
-    parts = []
-    for t in ("orders", "customer", "lineitem"):
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            parts.append((p, st.st_size, int(st.st_mtime)))
-        except OSError:
-            parts.append((p, None, None))
-    return fingerprint(parts, K_FOLDS, SEED)
+def inputs_key(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the files that the entity view reads."""
+    return input_key(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "lineitem")])
 
 
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +57,7 @@ def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = train_test(spark, sf_dir)
         f = stratified_folds(train, K_FOLDS, SEED)
         return f.unionByName(test, allowMissingColumns=True)
-    return stage(spark, "fixture_base", _inputs_key(sf_dir), build)
+    return stage(spark, "fixture_base", fingerprint(inputs_key(spark, sf_dir), K_FOLDS, SEED), build)
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -16,7 +16,9 @@ MODELS = ["m1", "m2", "m3", "m4"]
 
 ENTITY = """entity_features AS (
 select o.o_orderkey as id,
-  cast(case when o.o_orderpriority in ('1-URGENT','2-HIGH') and o.o_totalprice > 450000 then 1 else 0 end as int) as target,
+  cast(case when o.o_orderpriority in ('1-URGENT','2-HIGH') and o.o_totalprice > 450000
+       then case when ((o.o_orderkey * 2654435761 + 7) % 4294967296) // 65536 % 100 >= 25 then 1 else 0 end
+       else case when ((o.o_orderkey * 2654435761 + 7) % 4294967296) // 65536 % 100 < 1 then 1 else 0 end end as int) as target,
   o.o_totalprice as feature_1,
   c.c_acctbal as feature_2,
   cast(l.n_items as double) as feature_3,
@@ -359,6 +361,10 @@ def oracle_sql() -> dict[str, str]:
         ap_cte("mp", "oof", ["model", "fold"]) + ",\n" + auc_cte("ma", "oof", ["model", "fold"]))
 
     # blending
+    for n in (3, 4):
+        keys = ", ".join(f"w{j + 1}" for j in range(n))
+        q[f"blend_search{n}"] = f"SELECT {keys}, metric FROM ({_blend_grid(MODELS[:n], 20, 'ap')}) WHERE is_best"
+    q["scan_csv"] = f"WITH {ENTITY} SELECT * FROM entity_features"
     q["blend2_auc"] = _blend_grid(["m1", "m2"], 100, "auc")
     q["blend3_ap"] = _blend_grid(["m1", "m2", "m3"], 20, "ap")
     q["blend4_ap"] = _blend_grid(MODELS, 20, "ap")

@@ -30,9 +30,9 @@ from raretide.operators.folds import stratified_folds
 from raretide.operators.impute import MedianImputer
 from raretide.operators.learners import Member, cross_val, member
 from raretide.operators.metrics import average_precision
-from raretide.sources.entities import train_test
+from raretide.sources.entities import entity_schema, scan_csv, train_test
 from raretide.sources.sink import write_submission
-from raretide.sources.stages import fingerprint, stage
+from raretide.sources.stages import fingerprint, input_key, stage
 from raretide.spec import FIXTURE, FeatureSpec
 
 
@@ -47,7 +47,6 @@ class PlanConfig:
     k_nn: int = 5
     members: list[Member] = field(default_factory=lambda: [member("lgb", 20), member("xgb", 20), member("cat", 20)])
     blend_steps: int = 20
-    coarse_bins: int | None = None
     use_pseudo: bool = False
     early_stop: bool = False
     exact_quantiles: bool = True
@@ -64,9 +63,10 @@ def engineered(train: DataFrame, test: DataFrame, cfg: PlanConfig) -> tuple[Data
     """Row features (one projection each) and folds of the train side."""
     raw = [c for c in train.columns if c not in ("id", "target")]
     detected = profile.detect_binary(train, raw) if cfg.spec.auto_binary else None
-    tr = engineer(train, cfg.spec, raw, detected)
+    # The folds' window shuffles and sorts the raw columns; engineering is a narrow projection after it.
+    tr = engineer(stratified_folds(train, cfg.k_folds, cfg.seed, keep_rank=True), cfg.spec, raw, detected)
     ts = engineer(test, cfg.spec, raw, detected)
-    return stratified_folds(tr, cfg.k_folds, cfg.seed, keep_rank=True), ts
+    return tr, ts
 
 
 def encoded(tr: DataFrame, ts: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -113,9 +113,18 @@ def _ap(df: DataFrame, score: str = "score") -> float:
 
 
 def features_stage(spark: SparkSession, sf_dir: str, cfg: PlanConfig) -> tuple[DataFrame, DataFrame, list[str], float, str]:
-    """The prepared train/test tables as a stage: ``(train, test, features, spw, key)``."""
-    key = fingerprint(sf_dir, cfg.key())
-    train, test = train_test(spark, sf_dir)
+    """:func:`prepared_stage` of the fixture's train and test side."""
+    from raretide.plans.fixture import inputs_key
+    return prepared_stage(*train_test(spark, sf_dir), cfg, inputs_key(spark, sf_dir))
+
+
+def prepared_stage(train: DataFrame, test: DataFrame, cfg: PlanConfig, data_key: str) -> tuple[DataFrame, DataFrame, list[str], float, str]:
+    """The prepared train/test tables as a stage: ``(train, test, features, spw, key)``.
+
+    ``data_key`` names the data (see :func:`raretide.sources.stages.input_key`).
+    """
+    spark = train.sparkSession
+    key = fingerprint(data_key, cfg.key())
 
     def build_features() -> DataFrame:
         # The engineered tables are written first: the encoder and imputer fits
@@ -156,8 +165,24 @@ def member_stage(spark: SparkSession, tr: DataFrame, ts: DataFrame, feats: list[
 
 
 def run(spark: SparkSession, sf_dir: str, cfg: PlanConfig | None = None, out_path: str | None = None) -> PlanResult:
+    """The plan on the fixture tables."""
+    from raretide.plans.fixture import inputs_key
+    return run_tables(*train_test(spark, sf_dir), cfg, inputs_key(spark, sf_dir), out_path)
+
+
+def run_csv(spark: SparkSession, train_path: str, test_path: str, n_features: int, cfg: PlanConfig | None = None,
+            out_path: str | None = None) -> PlanResult:
+    """The plan on two CSV files with header ``id, [target,] feature_1..feature_n``, in any column order."""
+    train = scan_csv(spark, train_path, entity_schema(n_features))
+    test = scan_csv(spark, test_path, entity_schema(n_features, with_target=False))
+    return run_tables(train, test, cfg, input_key(spark, [train_path, test_path]), out_path)
+
+
+def run_tables(train: DataFrame, test: DataFrame, cfg: PlanConfig | None, data_key: str, out_path: str | None = None) -> PlanResult:
+    """The plan on any train table (``id``, ``target``, features) and test table (``id``, features)."""
     cfg = cfg or PlanConfig()
-    tr, ts, feats, spw, key = features_stage(spark, sf_dir, cfg)
+    spark = train.sparkSession
+    tr, ts, feats, spw, key = prepared_stage(train, test, cfg, data_key)
     synthetic = smote_stage(spark, tr, feats, cfg, key) if cfg.smote_ratio else None
     oof_parts, test_parts = [], []
     for m in cfg.members:
@@ -171,7 +196,7 @@ def run(spark: SparkSession, sf_dir: str, cfg: PlanConfig | None = None, out_pat
 
     oof_w = blend.pivot_scores(oof, names, ["id", "target"])
     tst_w = blend.pivot_scores(tst, names, ["id"])
-    best = blend.search(oof_w, names, cfg.blend_steps, "ap", coarse_bins=cfg.coarse_bins).first()
+    best = blend.search(oof_w, names, cfg.blend_steps, "ap").first()
     weights = [best[w] / cfg.blend_steps for w in blend.weight_names(len(names))]
     oof_b = blend.apply_weights(oof_w, names, weights, "score")
     tst_b = blend.apply_weights(tst_w, names, weights, "score")
@@ -182,7 +207,7 @@ def run(spark: SparkSession, sf_dir: str, cfg: PlanConfig | None = None, out_pat
         if conf["use_pseudo"]:
             pl = pseudo.select_pseudo(tst_b).join(ts, "id").withColumnRenamed("pseudo_label", "target")
             first = cfg.members[0]
-            cv = cross_val(tr, ts, feats, first, cfg.k_folds, spw, synthetic, cfg.seed, extra_train=pl)
+            cv = cross_val(tr, ts, feats, first, cfg.k_folds, spw, synthetic, cfg.seed, early_stop=cfg.early_stop, extra_train=pl)
             new_ap = _ap(cv.oof)
             kept = pseudo.keep_refit(member_ap[first.name], new_ap)
             if kept:

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from raretide.functions.hashing import mult_hash32
+
 N_FEATURES = 12
 FEATURES = [f"feature_{i}" for i in range(1, N_FEATURES + 1)]
 ID, TARGET = "id", "target"
@@ -30,7 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order; target = urgent/high priority and price > 450000."""
+    """One row per order.
+
+    The target follows urgent/high priority with price > 450000, with noise
+    that no feature explains: by a hash of the key a quarter of those rows is
+    0, and one in a hundred of the others is 1.
+    """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
@@ -47,9 +54,10 @@ def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .join(l_agg, o.o_orderkey == l_agg.l_orderkey, "left"))
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_totalprice") > 450000)
+    draw = F.pmod(F.floor(mult_hash32("o_orderkey", 7) / 65536), F.lit(100))
     return j.select(
         F.col("o_orderkey").cast("long").alias(ID),
-        F.when(urgent, 1).otherwise(0).cast("int").alias(TARGET),
+        F.when(urgent, (draw >= 25).cast("int")).otherwise((draw < 1).cast("int")).alias(TARGET),
         F.col("o_totalprice").alias("feature_1"),
         F.col("c_acctbal").alias("feature_2"),
         F.col("n_items").cast("double").alias("feature_3"),
@@ -84,26 +92,28 @@ def entity_schema(n_features: int, with_target: bool = True) -> T.StructType:
     return T.StructType(fields)
 
 
-def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The text ``NaN`` parses as a value; the pipeline treats it as missing."""
-    return df.select(*[
-        F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
-
+NULL_TOKENS = ("", "NA", "NaN", "nan", "null", "NULL")
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a declared schema (no inference pass); '', 'NA', 'NaN' -> NULL."""
-    df = (spark.read.schema(schema).option("header", True).option("nullValue", "")
-          .option("mode", "FAILFAST").csv(path))
-    dbl = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return nan_to_null(df, dbl)
 
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens: tuple[str, ...] = NULL_TOKENS,
+             rejected: str | None = None) -> DataFrame:
+    """Header CSV read by column name: the file's column order does not matter.
 
-def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
-    dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return nan_to_null(df, dbl)
+    Fields of ``schema`` must all be in the header (others are ignored); cells
+    among ``null_tokens`` are NULL.  A cell that does not parse fails the job,
+    or, with ``rejected`` naming a column, becomes NULL and is counted there.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    lost = [f.name for f in schema.fields if f.name not in raw.columns]
+    if lost:
+        raise ValueError(f"{path} lacks the columns {lost}")
 
+    def cell(f: T.StructField) -> Column:
+        text = F.trim(F.col(f"`{f.name}`"))
+        return F.when(~text.isin(*null_tokens), text)
 
-def feature_columns(df: DataFrame, exclude: tuple[str, ...] = (ID, TARGET)) -> list[str]:
-    """Column-role split: every column that is neither the key nor the label."""
-    return [c for c in df.columns if c not in exclude]
+    typed = [(cell(f), f) for f in schema.fields]
+    if rejected is None:
+        return raw.select(*[c.cast(f.dataType).alias(f.name) for c, f in typed])
+    bad = [(c.isNotNull() & c.try_cast(f.dataType).isNull()).cast("int") for c, f in typed]
+    return raw.select(*[c.try_cast(f.dataType).alias(f.name) for c, f in typed], sum(bad[1:], bad[0]).alias(rejected))

@@ -2,12 +2,13 @@
 
 ``stage(spark, name, fingerprint, build)`` returns the Parquet table at
 ``<root>/stages/<name>/fp=<fingerprint>`` when it is complete (Spark writes
-``_SUCCESS`` last), else runs ``build()`` and writes it there.  The root is
-the cluster's shared checkpoint folder (:func:`raretide.session.checkpoint_root`),
-so a rerun after a lost driver or a killed job resumes from the last
-finished stage.  Unlike the reference's cache files the fingerprint is part
-of the path: a change of inputs or parameters never reuses a stale table.
-Metrics that decide later steps go to a small ``metrics`` table per stage.
+``_SUCCESS`` last), else runs ``build()`` and writes it there.  The root is a
+plain shared folder without a per-application part (``raretide.stage.root``,
+else ``spark.checkpoint.dir``), so another process resumes from the last
+finished stage.  The fingerprint is part of the path and covers the input
+files (:func:`input_key`): a change of data or parameters never reuses a
+stale table, and a half-written one is built again.  Metrics that decide later
+steps go to a small ``metrics`` table per stage.
 """
 
 from __future__ import annotations
@@ -26,6 +27,28 @@ def fingerprint(*parts) -> str:
     return hashlib.sha1(blob).hexdigest()[:16]
 
 
+def stage_root(spark: SparkSession) -> str:
+    """The folder of the stages, the same for every application that names it."""
+    for name in ("raretide.stage.root", "spark.checkpoint.dir"):
+        root = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name, None)
+        if root:
+            return root.rstrip("/")
+    return checkpoint_root(spark)
+
+
+def input_key(spark: SparkSession, paths: list[str]) -> str:
+    """Fingerprint of the files under ``paths``: name, length and time, from whatever store holds them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            parts.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return fingerprint(sorted(parts))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -34,7 +57,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage_path(spark: SparkSession, name: str, fp: str, root: str | None = None) -> str:
-    return f"{root or checkpoint_root(spark)}/stages/{name}/fp={fp}"
+    return f"{root or stage_root(spark)}/stages/{name}/fp={fp}"
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

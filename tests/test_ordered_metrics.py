@@ -103,17 +103,39 @@ def test_rank_norm_and_interp(spark):
             assert got[pid] == pytest.approx(float(np.interp(x, xs, ys)))
 
 
-def test_coarse_grid_matches_brute_force(spark):
+@pytest.mark.parametrize("metric", ["ap", "auc"])
+def test_search_equals_the_whole_grid(spark, metric):
     from raretide.operators import blend
     rnd = random.Random(11)
-    rows = [(int(rnd.random() < 0.2), rnd.random(), rnd.random(), round(rnd.random(), 1)) for _ in range(300)]
+    rows = [(int(rnd.random() < 0.2), rnd.random(), rnd.random(), round(rnd.random(), 1)) for _ in range(400)]
     df = spark.createDataFrame(rows, "target int, a double, b double, c double")
-    steps, bins = 10, 64
-    got = {(r["w1"], r["w2"], r["w3"]): r["metric"]
-           for r in blend.grid_metric(df, ["a", "b", "c"], steps, "ap", coarse_bins=bins).collect()}
-    pts = blend.grid_points(3, steps)
-    assert len(got) == len(pts) == blend.grid_size(3, steps)
+    names, steps = ["a", "b", "c"], 10
+    brute = brute_ap if metric == "ap" else brute_auc
     y = [r[0] for r in rows]
-    for w in pts:
-        s = [float(np.floor((w[0] * a + w[1] * b + w[2] * c) / steps * bins)) for _, a, b, c in rows]
-        assert got[w] == pytest.approx(brute_ap(y, s), abs=1e-12)
+    want = {w: brute(y, [w[0] * a + w[1] * b + w[2] * c for _, a, b, c in rows]) for w in blend.grid_points(3, steps)}
+    best = max(want, key=lambda w: (round(want[w], 12), [-x for x in w]))
+    got = blend.search(df, names, steps, metric).first()
+    assert (got.w1, got.w2, got.w3) == best and got.metric == pytest.approx(want[best], abs=1e-12)
+    left = blend.surviving_points(df, names, steps, metric, first_bins=16)
+    assert best in left
+    ends = [(min(r[i] for r in rows), max(r[i] for r in rows)) for i in (1, 2, 3)]
+    for bins in (4, 64):
+        for w, (low, high) in zip(want, blend.metric_bounds(df, names, list(want), bins, ends, metric)):
+            assert low - 1e-9 <= want[w] <= high + 1e-9
+
+
+def test_search_keeps_a_winner_that_coarse_scores_hide(spark):
+    """Many points tie in coarse bins; the true best differs only within one bin."""
+    from raretide.operators import blend
+    rows = [(0, 0.5 + i * 1e-6, 0.9 - i * 1e-3) for i in range(200)] + [(1, 0.5 + 201e-6 + i * 1e-6, 0.1 + i * 1e-3) for i in range(20)]
+    rows += [(0, 0.0, 0.0), (0, 0.4, 1.0)]
+    df = spark.createDataFrame(rows, "target int, a double, b double")
+    got = blend.search(df, ["a", "b"], 100, "ap").first()
+    assert (got.w1, got.w2) == (100, 0) and got.metric == 1.0
+
+
+def test_bucket_of_counts_the_bounds_below(spark):
+    bounds = [float(i * i) for i in range(37)]
+    df = spark.range(0, 1500).select((F.col("id") - 20).cast("double").alias("x"), F.array(*map(F.lit, bounds)).alias("b"))
+    for r in df.select("x", ordered.bucket_of(F.col("x"), F.col("b")).alias("n")).collect():
+        assert r.n == sum(v < r.x for v in bounds)
