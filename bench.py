@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from raretide.operators import blend, learners, metrics, ranknorm  # noqa: E402
+from raretide.operators import blend, folds, learners, metrics, ranknorm  # noqa: E402
 from raretide.plans import catalog, fixture, pipeline  # noqa: E402
 from raretide.session import checkpoint_root, local_session  # noqa: E402
 from raretide.sources.sink import write_submission  # noqa: E402
@@ -76,9 +76,10 @@ def main() -> None:
     timed("blend_rank_write", tail)
 
     # Analytic operators on the whole fixture tables.
+    timed("op_fixture_base_write", lambda: fixture.base_table(spark, sf_dir))
     timed("op_engineer", lambda: noop(catalog.q_engineer_v4(spark, sf_dir)))
     timed("op_te_oof", lambda: noop(catalog.q_te_oof(spark, sf_dir)))
-    timed("op_folds", lambda: noop(catalog.q_stratified_folds(spark, sf_dir)))
+    timed("op_folds", lambda: noop(folds.stratified_folds(fixture.split(spark, sf_dir)[0], fixture.K_FOLDS, fixture.SEED)))
     timed("op_metrics", lambda: noop(metrics.metric_by_fold(fixture.oof_long(spark, sf_dir), ["model"])))
     timed("op_blend3_exact", lambda: noop(catalog.q_blend3_ap(spark, sf_dir)))
     timed("op_blend4_search", lambda: blend.search(fixture.oof_wide(spark, sf_dir), fixture.MODELS, 20, "ap").collect())

@@ -3,8 +3,8 @@
 Sub-packages: ``sources`` (entity tables, scans, sinks, stages), ``functions``
 (row-level column expressions), ``operators`` (DataFrame-in/DataFrame-out
 steps: profiling, folds, encoding, imputation, metrics, blending, ranking,
-resampling, learners), ``plans`` (the end-to-end scoring plan and the query
-catalogue) and ``streaming`` (intentionally empty, see its docstring).
+resampling, learners) and ``plans`` (the end-to-end scoring plan and the query
+catalogue).
 """
 
 __version__ = "0.1.0"

@@ -70,28 +70,29 @@ def dominant_interactions(spec: FeatureSpec) -> list[Column]:
     return out
 
 
-_N, _MEAN = "__fe_n", "__fe_mean"
+_N, _MEAN, _M2, _M3, _M4 = "__fe_n", "__fe_mean", "__fe_m2", "__fe_m3", "__fe_m4"
 
 
 def row_stat_columns(feat: list[str], spec: FeatureSpec, n: Column | None = None,
-                     mean: Column | None = None) -> list[Column]:
-    """Row statistics; pass ``n``/``mean`` columns computed by an earlier
-    projection so the central sums reference them instead of re-deriving them."""
+                     mean: Column | None = None, m2: Column | None = None, m3: Column | None = None,
+                     m4: Column | None = None) -> list[Column]:
+    """Row statistics; pass ``n``/``mean`` and the central sums as columns of
+    earlier projections, so each is computed once per row."""
     out = [
         rs.nan_count(feat).cast("double").alias("fe_nan_count"),
         rs.zero_count(feat, null_is_zero=spec.version >= 2).cast("double").alias("fe_zero_count"),
         rs.row_sum(feat).alias("fe_row_sum"),
         (rs.row_mean(feat) if mean is None else mean).alias("fe_row_mean"),
-        rs.row_std(feat, n, mean).alias("fe_row_std"),
+        rs.row_std(feat, n, mean, m2).alias("fe_row_std"),
         rs.row_max(feat).alias("fe_row_max"),
         rs.row_min(feat).alias("fe_row_min"),
     ]
     if spec.row_median:
         out.append(rs.row_median(feat).alias("fe_row_median"))
     if spec.row_skew:
-        out.append(rs.row_skew(feat, n, mean).alias("fe_row_skew"))
+        out.append(rs.row_skew(feat, n, mean, m2, m3).alias("fe_row_skew"))
     if spec.row_kurt:
-        out.append(rs.row_kurt(feat, n, mean).alias("fe_row_kurt"))
+        out.append(rs.row_kurt(feat, n, mean, m2, m4).alias("fe_row_kurt"))
     return out
 
 
@@ -121,13 +122,14 @@ def engineer(df: DataFrame, spec: FeatureSpec, feature_cols: list[str] | None =
         binary = [c for c in (detected_binary or []) if c in present]
     else:
         binary = [c for c in spec.binary_cols if c in present]
-    # Projection 1 computes the per-row count and mean once; projection 2
-    # references them (Catalyst does not re-inline a non-trivial expression
+    # Projection 1 computes the per-row count and mean once, projection 2 the
+    # central sums, projection 3 references them (Catalyst does not re-inline a non-trivial expression
     # that is used many times, so the central sums stay linear in width).
     df = df.select("*", rs.present_count(feat).alias(_N), rs.row_mean(feat).alias(_MEAN))
-    cols: list[Column] = [F.col(c) for c in df.columns if c not in (_N, _MEAN)]
+    df = df.select("*", *[rs.central_sum(feat, F.col(_MEAN), k).alias(m) for k, m in ((2, _M2), (3, _M3), (4, _M4))])
+    cols: list[Column] = [F.col(c) for c in df.columns if c not in (_N, _MEAN, _M2, _M3, _M4)]
     cols += [missing_flag(c) for c in miss]
-    cols += row_stat_columns(feat, spec, F.col(_N), F.col(_MEAN))
+    cols += row_stat_columns(feat, spec, F.col(_N), F.col(_MEAN), F.col(_M2), F.col(_M3), F.col(_M4))
     cols += binary_columns(binary, spec)
     if spec.pairwise:
         cols += pairwise_and(binary)

@@ -60,10 +60,15 @@ def _central(cols: list[str], mean: Column, power: int) -> Column:
     return _sum(terms)
 
 
-def row_std(cols: list[str], n: Column | None = None, mean: Column | None = None) -> Column:
+def central_sum(cols: list[str], mean: Column, power: int) -> Column:
+    """Sum of the ``power``-th powers of the distances from ``mean``."""
+    return _central(cols, mean, power)
+
+
+def row_std(cols: list[str], n: Column | None = None, mean: Column | None = None, m2: Column | None = None) -> Column:
     """Sample standard deviation (n - 1); fewer than two values -> null."""
     n = present_count(cols) if n is None else n
-    m2 = _central(cols, row_mean(cols) if mean is None else mean, 2)
+    m2 = _central(cols, row_mean(cols) if mean is None else mean, 2) if m2 is None else m2
     return F.when(n >= 2, F.sqrt(m2 / (n - 1)))
 
 
@@ -88,22 +93,24 @@ def _fp(c: Column) -> Column:
     return F.when(F.abs(c) < FP_ZERO, F.lit(0.0)).otherwise(c)
 
 
-def row_skew(cols: list[str], n: Column | None = None, mean: Column | None = None) -> Column:
+def row_skew(cols: list[str], n: Column | None = None, mean: Column | None = None, m2: Column | None = None,
+             m3: Column | None = None) -> Column:
     """Adjusted Fisher-Pearson skewness; n < 3 -> null; zero variance -> 0."""
     n = (present_count(cols) if n is None else n).cast("double")
     mean = row_mean(cols) if mean is None else mean
-    m2 = _fp(_central(cols, mean, 2))
-    m3 = _fp(_central(cols, mean, 3))
+    m2 = _fp(_central(cols, mean, 2) if m2 is None else m2)
+    m3 = _fp(_central(cols, mean, 3) if m3 is None else m3)
     g1 = (n * F.sqrt(n - 1) / (n - 2)) * (m3 / F.pow(m2, 1.5))
     return F.when(n < 3, F.lit(None).cast("double")).when(m2 == 0, F.lit(0.0)).otherwise(g1)
 
 
-def row_kurt(cols: list[str], n: Column | None = None, mean: Column | None = None) -> Column:
+def row_kurt(cols: list[str], n: Column | None = None, mean: Column | None = None, m2: Column | None = None,
+             m4: Column | None = None) -> Column:
     """Bias-corrected excess kurtosis; n < 4 -> null; zero variance -> 0."""
     n = (present_count(cols) if n is None else n).cast("double")
     mean = row_mean(cols) if mean is None else mean
-    m2 = _central(cols, mean, 2)
-    m4 = _central(cols, mean, 4)
+    m2 = _central(cols, mean, 2) if m2 is None else m2
+    m4 = _central(cols, mean, 4) if m4 is None else m4
     num = _fp(n * (n + 1) * (n - 1) * m4)
     den = _fp((n - 2) * (n - 3) * m2 * m2)
     adj = 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3))

@@ -12,7 +12,7 @@ fit:
 
 The fitted model holds at most ``cols x (folds + 1) x n_bins`` numbers - a
 size fixed by the parameters, not by the data - so ``transform`` is a pure
-projection: bin expression plus a literal map lookup per column.  No join and
+projection: bin expression plus a literal array lookup per column.  No join and
 no shuffle is needed to apply it, on train or test.
 
 Bins are right-closed ``(a, b]`` and numbered from 0 like ``pandas.cut``;
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from raretide.operators.quantiles import column_quantiles
 
-_FOLD_STRIDE = 1 << 16
-
 
 def edge_probs(n_bins: int) -> list[float]:
     return [i / n_bins for i in range(n_bins + 1)]
@@ -89,18 +87,20 @@ class TargetEncoderModel:
     def _lookup(self, table: dict, key: Column) -> Column:
         if not table:
             return F.lit(self.prior)
-        pairs = []
-        for k, v in sorted(table.items()):
-            pairs += [F.lit(k), F.lit(float(v))]
-        return F.coalesce(F.element_at(F.create_map(*pairs), key), F.lit(self.prior))
+        # A literal array by position: the cost of a cell does not follow folds x bins.
+        cells = F.array(*[F.lit(float(table[k]) if k in table else None).cast("double") for k in range(max(table) + 1)])
+        return F.coalesce(F.get(cells, key.cast("int")), F.lit(self.prior))
 
     def transform_oof(self, train: DataFrame) -> DataFrame:
         """Train rows: each row encoded with statistics of the other folds."""
         out = []
         for c in self.cols:
             b = bin_expr(F.col(c), self.inner[c])
-            flat = {f * _FOLD_STRIDE + bi: v for (f, bi), v in self.oof.get(c, {}).items()}
-            key = F.col(self.fold_col).cast("long") * _FOLD_STRIDE + b
+            rates = self.oof.get(c, {})
+            width = 1 + max((bi for _, bi in rates), default=0)
+            flat = {f * width + bi: v for (f, bi), v in rates.items()}
+            # A bin that no other fold has lies beyond the width and takes the prior.
+            key = F.when(b < width, F.col(self.fold_col).cast("long") * width + b)
             out.append(F.when(b.isNull(), F.lit(self.prior)).otherwise(self._lookup(flat, key)).alias(self.prefix + c))
         return train.select("*", *out)
 
