@@ -12,10 +12,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from raretide.operators.ordered import asof_neighbours, prefix_sums
+from raretide.operators.ordered import asof_neighbours, bucket_bounds, bucket_of, default_buckets, prefix_sums
 
 
 def rank_knots(df: DataFrame, keys: list[str], score: str = "score", n_buckets: int | None = None) -> DataFrame:
@@ -34,9 +34,24 @@ def average_rank(df: DataFrame, keys: list[str], score: str = "score", out: str
 
 def ordinal_rank(df: DataFrame, keys: list[str], score: str = "score", id_col: str = "id",
                  out: str = "rank_norm", n_buckets: int | None = None) -> DataFrame:
-    one = df.withColumn("__one", F.lit(1))
-    run = prefix_sums(one, keys, [score, id_col], ["__one"], n_buckets=n_buckets)
-    return run.withColumn(out, F.col("cum___one") / (F.col("tot___one") + 1)).drop("cum___one", "tot___one", "__one")
+    """Position by (score, id) over n + 1.
+
+    A score that many rows share is cut into id ranges: the rows are counted per
+    (score, id range), the running counts of these cells place each cell, and
+    only a cell's rows are numbered in one task.  A NULL score has no rank.
+    """
+    n_buckets = default_buckets(df.sparkSession) if n_buckets is None else n_buckets
+    key = "__rank_key"
+    rows = df.withColumn(key, F.lit(0))
+    kcols = [key, *keys]
+    bounds = F.broadcast(bucket_bounds(rows, kcols, id_col, n_buckets))  # keys x ranges numbers
+    rows = rows.join(bounds, kcols, "left").withColumn("__range", bucket_of(F.col(id_col), F.col("__bounds"))).drop("__bounds")
+    cells = rows.groupBy(*kcols, score, "__range").agg(F.count(F.lit(1)).alias("c"))
+    run = prefix_sums(cells, kcols, [score, "__range"], ["c"], n_buckets=n_buckets)
+    run = run.select(*kcols, score, "__range", (F.col("cum_c") - F.col("c")).alias("__before"), "tot_c")
+    own = F.row_number().over(Window.partitionBy(*kcols, score, "__range").orderBy(id_col))
+    placed = rows.withColumn("__own", own).join(run, [*kcols, score, "__range"], "left")
+    return placed.select(*df.columns, ((F.col("__before") + F.col("__own")) / (F.col("tot_c") + 1)).alias(out))
 
 
 def interpolate(knots: DataFrame, probes: DataFrame, keys: list[str], score: str = "score",

@@ -383,6 +383,8 @@ SQL_QUERIES: dict[str, Query] = {
     "blend_search3": q_blend_search3,
     "blend_search4": q_blend_search4,
     "scan_csv": q_scan_csv,
+    "final_select": lambda spark, sf: q_final_select(spark, sf),
+    "submission": lambda spark, sf: q_submission(spark, sf),
 }
 # ---------------------------------------------------------------- rows-only (learners, draws, sinks)
 def _plan(spark, sf):
@@ -482,7 +484,7 @@ def _standin_final(spark, sf):
 
 
 def q_final_select(spark, sf):
-    return _standin_final(spark, sf)
+    return _round_doubles(_standin_final(spark, sf))
 
 
 def q_submission(spark, sf):
@@ -490,7 +492,7 @@ def q_submission(spark, sf):
     from raretide.session import checkpoint_root
     from raretide.sources import sink
     path = f"{checkpoint_root(spark)}/submission-{uuid.uuid4().hex[:8]}"
-    sink.write_submission(_standin_final(spark, sf), path)
+    sink.write_submission(_round_doubles(_standin_final(spark, sf)), path)
     return spark.read.option("header", True).schema("id long, target double").csv(path)
 
 
@@ -516,13 +518,15 @@ def q_pseudo_refit(spark, sf):
     from raretide.operators import learners, pseudo
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
     m = learners.member("lgb", 6)
-    base_oof, base_tst = pl.member_stage(spark, tr, ts, feats, m, cfg, spw, None, key)
-    gate = pseudo.gate(base_tst).first()
+    base_oof, _ = pl.member_stage(spark, tr, ts, feats, m, cfg, spw, None, key)
+    # The stand-in scores of m2 open the gate at every scale factor; the fits are real.
+    sure = test_wide(spark, sf).select("id", F.col("m2").alias("score"))
+    gate = pseudo.gate(sure).first()
     base_ap = metrics.average_precision(base_oof, []).first()["ap"]
     if not gate["use_pseudo"]:
         return spark.createDataFrame([(m.name, int(gate["n_pseudo"]), float(base_ap), None, False)],
                                      "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean")
-    rows = pseudo.select_pseudo(base_tst).join(ts, "id").withColumnRenamed("pseudo_label", "target")
+    rows = pseudo.select_pseudo(sure).join(ts, "id").withColumnRenamed("pseudo_label", "target")
     cv = learners.cross_val(tr, ts, feats, m, cfg.k_folds, spw, None, extra_train=rows)
     refit_ap = metrics.average_precision(cv.oof, []).first()["ap"]
     return spark.createDataFrame(
@@ -549,8 +553,6 @@ ROWS_QUERIES: dict[str, Query] = {
     "meta_stack": q_meta_stack,
     "random_search": q_random_search,
     "isotonic": q_isotonic,
-    "final_select": q_final_select,
-    "submission": q_submission,
     "stage_resume": q_stage_resume,
     "pseudo_refit": q_pseudo_refit,
     "score_plan": q_score_plan,

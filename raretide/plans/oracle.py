@@ -394,6 +394,21 @@ def oracle_sql() -> dict[str, str]:
         "LEFT JOIN knots k0 ON k0.model = lo.model AND k0.score = lo.s0 "
         "LEFT JOIN knots k1 ON k1.model = hi.model AND k1.score = hi.s1", knots + ",\n" + interp)
 
+    # the tail on stand-in scores: ranks keep the order and the ties, so their AP equals the blend's and they are taken
+    w3 = "(w1 / 20.0) * m1 + (w2 / 20.0) * m2 + (w3 / 20.0) * m3"
+    tail = (best3.replace("\nSELECT w1, w2, w3,", ",\nbest AS (SELECT w1, w2, w3,", 1)
+            + f"),\nob AS (SELECT {w3} AS score FROM oofw, best WHERE is_best),"
+            + f"\ntb AS (SELECT id, {w3} AS score FROM testw, best WHERE is_best),"
+            + "\nkn AS (SELECT score, ((cum - c) + (c + 1) / 2.0) / (tot + 1) AS rnk FROM (SELECT score, c, "
+              "sum(c) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum, sum(c) OVER () AS tot FROM "
+              "(SELECT score, count(*) AS c FROM ob GROUP BY score))),"
+            + "\nnx AS (SELECT score AS s0, rnk AS r0, lead(score) OVER (ORDER BY score) AS s1, lead(rnk) OVER (ORDER BY score) AS r1 FROM kn),"
+            + "\nfin AS (SELECT t.id, CASE WHEN n.s0 IS NULL THEN (SELECT arg_min(rnk, score) FROM kn) "
+              "WHEN n.s1 IS NULL OR t.score = n.s0 THEN n.r0 ELSE n.r0 + (t.score - n.s0) * (n.r1 - n.r0) / (n.s1 - n.s0) END AS score "
+              "FROM tb t ASOF LEFT JOIN nx n ON t.score >= n.s0)")
+    q["final_select"] = tail + f"\nSELECT id, {r6('score')} AS score, 'rank_norm' AS method FROM fin"
+    q["submission"] = tail + f"\nSELECT id, {r6('score')} AS target FROM fin"
+
     # pseudo labels
     q["pseudo_select"] = with_base(
         "SELECT id, CAST(m1 > 0.5 AS INTEGER) AS pseudo_label FROM testw WHERE m1 > 0.85 OR m1 < 0.005")

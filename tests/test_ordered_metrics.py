@@ -139,3 +139,12 @@ def test_bucket_of_counts_the_bounds_below(spark):
     df = spark.range(0, 1500).select((F.col("id") - 20).cast("double").alias("x"), F.array(*map(F.lit, bounds)).alias("b"))
     for r in df.select("x", ordered.bucket_of(F.col("x"), F.col("b")).alias("n")).collect():
         assert r.n == sum(v < r.x for v in bounds)
+
+
+def test_ordinal_rank_splits_a_hot_score(spark):
+    rows = [(i * 7 % 1009, 0.5 if i % 10 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, score double")
+    order = {r: k + 1 for k, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    for nb in (2, 8):
+        got = {(r.id, r.score): r.rank_norm for r in ranknorm.ordinal_rank(df, [], n_buckets=nb).collect()}
+        assert got == {r: k / 1001 for r, k in order.items()}
