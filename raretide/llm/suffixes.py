@@ -10,13 +10,16 @@ in steps that lose nothing, and decided by suffix arrays:
    equal anchors.  Windows whose anchor occurs once in the corpus are unique.
 3. The other stretches are cut at content-defined anchors into pieces.  Equal
    pieces are one piece, counted: their windows repeat.
-4. The distinct pieces are hashed to shards.  Each shard builds its suffix array
+4. The distinct pieces go to shards by their least anchor, so that variants of
+   one stretch meet; an anchor with more bytes than a shard holds is spread over
+   several.  Each shard builds its suffix array
    by Larsson-Sadakane refinement (prefix doubling that touches only groups
    not yet told apart) and the common prefixes by Kasai's scan, run in lockstep
    over stretches of the text.  Neighbours with ``length`` common bytes repeat.
-5. Each shard ships one 64-bit key per distinct window, sorted; binary search
-   for the range ends cuts its run into merge ranges, and in a range every run
-   is searched in the merged runs: a key of two shards repeats in both.
+5. Windows whose anchor is in several shards are merged across them: each shard
+   ships one 64-bit key per distinct window, sorted; binary search for the range
+   ends cuts its run into merge ranges, and in a range every run is searched in
+   the merged runs: a key of two shards repeats in both.
 
 Windows enter the merge once per shard however often they occur, so a passage
 that many documents share is a few rows.  Sizes of shards and ranges are
@@ -45,6 +48,8 @@ GRAM = 128
 SHARD_BYTES = 1 << 20
 RANGE_KEYS = 1 << 20
 CUT_EVERY = 16
+#: Bytes of a SHA-256 that name a text or a piece.
+KEY_BYTES = 14
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -159,7 +164,7 @@ def _raw(text: str | None) -> np.ndarray:
 
 
 def text_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(doc_id, sha, n_bytes, hashes, counts)`` per row of ``docs(doc_id, text)``."""
+    """``(doc_id, full, sha, n_bytes, hashes, counts)`` per row of ``docs(doc_id, text)``; ``sha`` is the short key."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,16 +175,17 @@ def text_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 values = counts = np.zeros(0, np.int64)
                 if len(raw) >= length:
                     values, counts = np.unique(anchors(raw, length, gram)[2].view(np.int64), return_counts=True)
-                rows.append((doc_id, hashlib.sha256(raw).hexdigest(), len(raw), values, counts))
-            out = pd.DataFrame(rows, columns=["doc_id", "sha", "n_bytes", "hashes", "counts"])
+                digest = hashlib.sha256(raw)
+                rows.append((doc_id, digest.hexdigest(), digest.digest()[:KEY_BYTES], len(raw), values, counts))
+            out = pd.DataFrame(rows, columns=["doc_id", "full", "sha", "n_bytes", "hashes", "counts"])
             out["doc_id"] = b["doc_id"].to_numpy()
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, sha string, n_bytes long, hashes array<long>, counts array<long>")
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, full string, sha binary, n_bytes long, hashes array<long>, counts array<long>")
 
 
 def pieces_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``(sha, at, starts, piece, body)`` of the stretches of ``texts(sha, text, wanted)`` whose windows have wanted anchors."""
+    """``(sha, at, starts, piece, marks, body)``, ``marks`` the anchors of its windows, of the stretches of ``texts(sha, text, wanted)`` whose windows have wanted anchors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -196,24 +202,25 @@ def pieces_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     edges = [int(lo), *inner.tolist(), int(hi)]
                     for a, z in zip(edges, edges[1:]):
                         body = raw[a:z + length - 1].tobytes()
-                        rows.append((sha, a, z - a, hashlib.sha256(body).hexdigest(), body))
-            yield pd.DataFrame(rows, columns=["sha", "at", "starts", "piece", "body"])
+                        marks = np.unique(least[a:z].view(np.int64))
+                        rows.append((sha, a, z - a, hashlib.sha256(body).digest()[:KEY_BYTES], marks, body))
+            yield pd.DataFrame(rows, columns=["sha", "at", "starts", "piece", "marks", "body"])
 
-    return texts.mapInPandas(run, "sha string, at long, starts long, piece string, body binary")
+    return texts.mapInPandas(run, "sha binary, at long, starts long, piece binary, marks array<long>, body binary")
 
 
-def shard_runs(pieces: DataFrame, length: int, ranges: int) -> DataFrame:
-    """Suffix arrays of ``pieces(shard, piece, body)``.
+def shard_runs(pieces: DataFrame, length: int, gram: int, ranges: int) -> DataFrame:
+    """Suffix arrays of ``pieces(shard, piece, shared, body)``; ``shared`` are its anchors that other shards have.
 
     Rows with range -1 hold the shard's pieces and the windows that repeat inside
-    it (``flags``, one bit per byte of the joined bodies); the others hold one merge
-    range of the shard's sorted window keys and the windows' places.
+    it (one bit per byte of the joined bodies); the others hold one merge range of
+    the shard's sorted window keys and the windows' places.
     """
     width = (1 << 64) // ranges
     ends = np.array([i * width for i in range(1, ranges)], dtype=np.uint64)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("piece")
+        group = group.drop_duplicates("piece").sort_values("piece")
         shard, bodies = int(group["shard"].iloc[0]), list(group["body"])
         raw = np.frombuffer(b"".join(bodies), dtype=np.uint8)
         sizes = np.array([len(x) for x in bodies])
@@ -228,7 +235,10 @@ def shard_runs(pieces: DataFrame, length: int, ranges: int) -> DataFrame:
         many = np.bincount(kind[good], minlength=kind[-1] + 1)
         flags = np.zeros(len(raw), dtype=bool)
         flags[sa[good & (many[kind] > 1)]] = True
-        # one window of each class goes into the shard's run
+        # one window of each class that other shards may have goes into the shard's run
+        shared = np.unique(np.concatenate([np.asarray(x, dtype=np.int64) for x in group["shared"]]))
+        abroad = np.isin(anchors(raw, length, gram)[0].view(np.int64), shared) if len(shared) else np.zeros(len(raw) - length + 1, bool)
+        good &= np.concatenate((abroad, np.zeros(length - 1, bool)))[sa]
         own, one = np.unique(kind[good], return_index=True)
         place = sa[good][one]
         keys = window_hashes(raw, length)[place]
@@ -245,7 +255,7 @@ def shard_runs(pieces: DataFrame, length: int, ranges: int) -> DataFrame:
                 rows.append((shard, r, None, None, keys[a:z].tobytes(), where.tobytes()))
         return pd.DataFrame(rows, columns=["shard", "range", "names", "sizes", "data", "places"])
 
-    schema = "shard int, range int, names array<string>, sizes array<long>, data binary, places binary"
+    schema = "shard int, range int, names array<binary>, sizes array<long>, data binary, places binary"
     return pieces.groupBy("shard").applyInPandas(run, schema)
 
 
@@ -284,7 +294,7 @@ def repeated_starts(parts: DataFrame) -> DataFrame:
                 rows.append((name, lo.tolist(), hi.tolist()))
         return pd.DataFrame(rows, columns=["piece", "lo", "hi"])
 
-    return local.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(run, "piece string, lo array<long>, hi array<long>")
+    return local.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(run, "piece binary, lo array<long>, hi array<long>")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, range_keys: int = RANGE_KEYS) -> DataFrame:
@@ -294,31 +304,46 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     """
     gram = min(gram, length)
     rows = stored(text_anchors(docs, length, gram), "suffix-anchors")
-    texts = rows.groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"))
+    texts = rows.groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.first("full").alias("full"))
     texts = stored(texts, "suffix-texts")
     # anchors that occur twice in the distinct texts
-    once = rows.join(texts.select("sha", "doc_id"), (rows["sha"] == texts["sha"]) & rows["doc_id"].eqNullSafe(texts["doc_id"]), "left_semi")
-    once = once.where(F.size("hashes") > 0).select("sha", F.explode(F.arrays_zip("hashes", "counts")).alias("x")).select("sha", F.col("x.hashes").alias("hash"), F.col("x.counts").alias("n")).distinct()
+    once = rows.where(F.size("hashes") > 0).join(
+        texts.select("sha", "doc_id"), (rows["sha"] == texts["sha"]) & rows["doc_id"].eqNullSafe(texts["doc_id"]), "left_semi")
+    once = once.select("sha", "hashes", "counts").dropDuplicates(["sha"])
+    once = once.select("sha", F.explode(F.arrays_zip("hashes", "counts")).alias("x")).select("sha", F.col("x.hashes").alias("hash"), F.col("x.counts").alias("n"))
     once = stored(once, "suffix-hashes")
     often = once.groupBy("hash").agg(F.sum("n").alias("all")).where("all > 1").select("hash")
-    wanted = once.join(often, "hash").groupBy("sha").agg(F.collect_set("hash").alias("wanted"))
-    wanted = wanted.join(texts.select("sha", F.col("doc_id").alias("rep")), "sha")
+    often = stored(often, "suffix-often")
+    wanted = once.select("sha", "hash").join(often, "hash").groupBy("sha").agg(F.collect_list("hash").alias("wanted"))
+    wanted = stored(wanted.join(texts.select("sha", F.col("doc_id").alias("rep")), "sha"), "suffix-wanted")
     # the text of one row per wanted text; the id in the key spreads the copies
-    source = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("s"))
+    source = docs.select("doc_id", "text", F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, KEY_BYTES).alias("s"))
     picked = source.join(wanted, (F.col("s") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("sha", "text", "wanted")
-    picked = stored(picked, "suffix-picked").dropDuplicates(["sha"])
+    picked = stored(picked, "suffix-picked")  # repeated rows of one id stay repeated here
     pieces = stored(pieces_of(picked, length, gram), "suffix-pieces")
-    distinct = pieces.groupBy("piece").agg(F.count("*").alias("times"), F.min(F.struct("sha", "at")).alias("one"))
-    distinct = stored(distinct, "suffix-distinct")
-    bodies = pieces.join(distinct.select(F.col("piece").alias("p"), "one"), (F.col("piece") == F.col("p")) & (F.struct("sha", "at") == F.col("one")), "left_semi")
-    size = bodies.agg(F.sum(F.length("body")), F.sum("starts")).first()
-    shards, ranges = max(1, -(-(size[0] or 0) // shard_bytes)), max(1, -(-(size[1] or 0) // range_keys))
-    bodies = bodies.select(F.pmod(F.xxhash64("piece"), F.lit(shards)).cast("int").alias("shard"), "piece", "body")
-    parts = stored(shard_runs(bodies, length, ranges), "suffix-runs")
+    spots = pieces.select("sha", "at", "starts", "piece", "marks").dropDuplicates(["sha", "at"])
+    spots = stored(spots, "suffix-spots")
+    distinct = spots.groupBy("piece").agg(F.count("*").alias("times"), F.min(F.struct("sha", "at")).alias("one"), F.first("marks").alias("marks"), F.first("starts").alias("n"))
+    distinct = stored(distinct.withColumn("mark", F.array_min("marks")), "suffix-distinct")
+    # shards by least anchor; one with many bytes is spread by the pieces' hash
+    load = distinct.groupBy("mark").agg(F.sum(F.col("n") + (length - 1)).alias("bytes"))
+    load = stored(load.withColumn("spread", F.ceil(F.col("bytes") / shard_bytes)), "suffix-load")
+    size = load.agg(F.sum("bytes")).first()[0] or 0
+    shards, ranges = max(1, -(-int(size) // shard_bytes)), max(1, -(-int(size) // range_keys))
+    salted = distinct.join(load.select(F.col("mark").alias("m"), "spread"), F.col("mark") == F.col("m"))
+    shard = F.pmod(F.xxhash64("mark", F.pmod(F.xxhash64("piece"), F.col("spread"))), F.lit(shards)).cast("int")
+    placed = stored(salted.select("piece", "one", "marks", shard.alias("shard")), "suffix-placed")
+    marks = placed.select("piece", "shard", F.explode("marks").alias("mark"))
+    shared = marks.groupBy("mark").agg(F.min("shard").alias("a"), F.max("shard").alias("z")).where("a < z").select("mark")
+    shared = marks.join(stored(shared, "suffix-shared"), "mark").groupBy("piece").agg(F.collect_list("mark").alias("shared"))
+    placed = placed.select(F.col("piece").alias("p"), "one", "shard").join(shared.withColumnRenamed("piece", "q"), F.col("p") == F.col("q"), "left")
+    placed = placed.select("p", F.col("one.sha").alias("t"), F.col("one.at").alias("a"), "shard", F.coalesce("shared", F.array().cast("array<long>")).alias("shared"))
+    bodies = pieces.select("sha", "at", "piece", "body").join(placed, (F.col("sha") == F.col("t")) & (F.col("at") == F.col("a"))).select("shard", "piece", "shared", "body")
+    parts = stored(shard_runs(bodies, length, gram, ranges), "suffix-runs")
     found = stored(repeated_starts(parts), "suffix-found")
     # a piece with equals repeats whole; of the others, the starts found
     known = distinct.select("piece", "times").join(found, "piece", "left")
-    spots = pieces.select("sha", "at", "starts", "piece").join(known, "piece")
+    spots = spots.select("sha", "at", "starts", "piece").join(known, "piece")
     whole = F.array(F.struct(F.col("at").alias("lo"), (F.col("at") + F.col("starts") - 1 + length).alias("hi")))
     part = F.zip_with("lo", "hi", lambda a, z: F.struct((F.col("at") + a).alias("lo"), (F.col("at") + z - 1 + length).alias("hi")))
     spots = spots.select("sha", F.explode(F.when(F.col("times") > 1, whole).otherwise(part)).alias("span"))
@@ -337,13 +362,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
                 out.append((sha, int(gone.sum()), len(lo), hashlib.sha256(raw[~gone]).hexdigest(), [{"lo": int(a), "hi": int(z)} for a, z in zip(lo, hi)]))
             yield pd.DataFrame(out, columns=["sha", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    done = picked.select("sha", "text").join(spans, "sha").mapInPandas(cut, "sha string, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>")
+    done = picked.select("sha", "text").join(spans, "sha").mapInPandas(cut, "sha binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>").dropDuplicates(["sha"])
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    verdict = texts.select("sha", "copies", "n_bytes").join(done, "sha", "left").select(
+    verdict = texts.select("sha", "full", "copies", "n_bytes").join(done, "sha", "left").select(
         "sha",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        F.when(copied, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "full")).alias("kept_sha256"),
         F.when(copied, F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi")))).otherwise(
             F.coalesce("spans", F.array().cast("array<struct<lo:long,hi:long>>"))).alias("spans"),
     )
