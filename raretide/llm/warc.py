@@ -39,7 +39,7 @@ from raretide.llm.common import scratch, table
 
 ARCHIVE_BYTES = 48 << 20
 MIN_BYTES = 0
-LEVEL = 3
+LEVEL = 6
 PIECE = 1 << 20
 END = b"\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -59,9 +59,9 @@ def with_roles(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     rows = pages.select("page_id", url.alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     raw = F.col("payload").cast("binary")
-    rows = rows.withColumn("payload_bytes", F.length(raw).cast("long")).withColumn("key", F.sha2(raw, 256))
+    rows = rows.withColumn("payload_bytes", F.length(raw).cast("long")).withColumn("key", F.unhex(F.sha2(raw, 256)))
     first = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("key").agg(F.min("page_id").alias("first"))
-    rows = rows.withColumn("payload_digest", base32_of_hex(F.sha1(raw))).join(first, "key", "left")
+    rows = rows.join(first, "key", "left").withColumn("payload_digest", base32_of_hex(F.sha1(raw)))
     refers = F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     return rows.select("page_id", "url", "payload", "payload_bytes", "payload_digest", refers.alias("refers_to"))
 
@@ -90,13 +90,11 @@ def record_text(roles: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Monolithic ``.gz`` archives of about ``archive_bytes`` payload bytes each, at most."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-int(total) // archive_bytes))
-    roles = with_roles(pages, min_bytes)
-    files = max(files, pages.sparkSession.sparkContext.defaultParallelism)
-    spread = roles.repartition(files, F.xxhash64("page_id", "payload_digest", "url"))
-    record_text(spread).write.option("lineSep", END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+    """Monolithic ``.gz`` archives: the partitions of the payload join, cut at about ``archive_bytes`` payload bytes."""
+    total, n = pages.agg(F.sum(F.octet_length("html")), F.count("*")).first()
+    rows = max(1, archive_bytes * n // max(1, total or 0))
+    records = record_text(with_roles(pages, min_bytes))
+    records.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", rows).text(path)
 
 
 def inflated(stream: bytes) -> Iterator[bytes]:
