@@ -121,11 +121,10 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED, partners: int = P
     return weights, (low + high) / 2
 
 
-def strength(weights: list[float]) -> Column:
-    out = F.lit(0.0)
-    for i, w in enumerate(weights):
-        out = out + F.col("x")[i] * F.lit(w)
-    return out
+def strength(weights: list[float], x: Column | None = None) -> Column:
+    """w . x of the feature array ``x`` (the column of that name, if none is given)."""
+    x = F.col("x") if x is None else x
+    return F.aggregate(F.zip_with(x, F.array(*map(F.lit, weights)), lambda a, w: a * w), F.lit(0.0), lambda t, y: t + y)
 
 
 def scored(docs: DataFrame, labels: DataFrame, cut: float = CUT, folds: int = FOLDS, max_labelled: int = MAX_LABELLED,
@@ -146,19 +145,19 @@ def scored(docs: DataFrame, labels: DataFrame, cut: float = CUT, folds: int = FO
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that are predicted 1; rows with a null id are judged by their own text like any other."""
-    keyed = docs.withColumn("__row", F.sha2(F.coalesce("text", F.lit("")), 256))
-    score = scored_by_text(keyed, labels, **params)
-    return keyed.join(score.where("predicted = 0").select("__row").distinct(), "__row", "left_anti").select(*docs.columns)
-
-
-def scored_by_text(keyed: DataFrame, labels: DataFrame, cut: float = CUT, **params) -> DataFrame:
-    """Verdicts by ``__row``, the text's digest: equal texts have equal scores."""
-    rows = stored(features(keyed.select("doc_id", "__row", "text"), ["doc_id", "__row"]), "quality-x")
+    """The rows of ``docs`` that are predicted 1; every row is judged by its own text, in place (no join back)."""
+    rows = features(docs.select("doc_id", "text"), ["doc_id"])
     named = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     found = fit(rows.join(named, "doc_id").select("doc_id", "quality", "x"), **params)
-    good = F.lit(True) if found is None else strength(found[0]) >= F.lit(found[1])
-    return rows.select("__row", good.cast("int").alias("predicted"))
+    if found is None:
+        return docs
+    weights, level = found
+
+    @F.pandas_udf("array<double>")
+    def described(texts: pd.Series) -> pd.Series:
+        return pd.Series([text_features(t) for t in texts])
+
+    return docs.where(strength(weights, described("text")) >= F.lit(level))
 
 
 def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
