@@ -120,8 +120,10 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     found = stored(links(classes.select("fp"), max_bits), "simhash-links")
     roots = connected_components(found).withColumnRenamed("node", "fp")
     classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = classes.join(lows, "root").select("fp", "component_id")
+    # both are written first: the joins have plain shuffles on either side then, so AQE splits
+    # a component with many fingerprints and a fingerprint with many copies
+    lows = stored(classes.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
+    named = stored(classes.join(lows, "root").select("fp", "component_id"), "simhash-named")
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
