@@ -187,6 +187,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", cut: float = CUT) -> DataFra
     held = stored(docs.where(some).withColumn("__key", F.sha2("text", 256)), "secret-texts")
     found = findings(held.dropDuplicates(["__key"]).select("__key", "text"), ["__key"], cut=cut)
     found = found.groupBy("__key").agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("__values"))
+    found = stored(found, "secret-values")  # both sides of the join are plain shuffles then, and AQE splits a text with many copies
     clean = F.aggregate("__values", F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit(mark)))
     done = held.join(found, "__key", "left").withColumn("text", F.when(F.col("__values").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
