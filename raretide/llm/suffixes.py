@@ -372,6 +372,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
         F.when(copied, F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi")))).otherwise(
             F.coalesce("spans", F.array().cast("array<struct<lo:long,hi:long>>"))).alias("spans"),
     )
+    # written first: both sides of the join are plain shuffles then, and AQE splits a text with many copies
+    verdict = stored(verdict, "suffix-verdict")
     return rows.select("doc_id", "sha", "n_bytes").join(verdict, "sha").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
 
 
