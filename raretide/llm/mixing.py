@@ -121,9 +121,6 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     shards = sainte_lague(shards, ["source"], "shard", "shard_size", "quota", "blocks").where("shard_size > 0")
     # 3. seeded choice of the blocks of the line, read `most` times
     last = F.floor(F.col("shard_size") * most / block)
-    # a few bytes a shard become thousands of blocks: deal the shards by their words, which AQE would merge by their bytes
-    words = shards.agg(F.sum("shard_size")).first()[0] or 0
-    shards = shards.repartition(max(1, -(-int(words) // (32 * shard_words))), "source", "shard")
     named = F.md5(F.concat_ws(":", F.coalesce("source", F.lit("null")), "shard", "block", F.lit(str(seed))).cast("binary"))
     cut = shards.where(last > 0).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last - 1)))
     cut = cut.withColumn("lap", F.floor(F.col("block") * block / F.col("shard_size"))).withColumn("name", named)
