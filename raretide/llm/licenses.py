@@ -1,9 +1,12 @@
 """License scans by sentence rules.
 
-A text is cut into sentences (at line ends and after ``.``, ``!``, ``?`` or
-``;`` before a space).  Each sentence is normalised (lower case, runs of other
-characters than letters and digits become one space) and looked up among known
-licence sentences, some of which have a variable part (a year, a name).  The
+A text is normalised (lower case, runs of other characters than letters and
+digits become one space) with marks where a sentence may begin or end: at line
+ends and after ``.``, ``!``, ``?`` or ``;`` before a space; a known sentence may
+also end at a colon, and the next one begin there.  Known licence sentences,
+some of which have a variable part (a year, a name), are found between marks.
+They may run over marks, so a sentence wrapped over lines is whole, but not over
+a blank line; of two that begin at one place the longer counts.  The
 identifiers of a text's known sentences, in their order, are then matched with
 the licence rules in order: a rule is a sequence of identifiers that must occur
 in this order; the first rule that matches takes its sentences, and the
@@ -107,26 +110,39 @@ RULES = [
 SILENT = ["copyright", "spdx", "mitTitle"]
 #: Every known sentence and pattern has one of these words.
 KEYWORDS = ["licen", "copyright", "permission", "warrant", "permitted", "rights", "redistribut", "january", "endorse", "unencumbered"]
-SENTENCE_END = r"[\n\r]+|(?<=[.!?;])[ \t]+"
+#: Steps from the lower-case text to the normal form: "|" marks a line or sentence end, "#" a blank line,
+#: ":" a colon before a space ("/" is a line end until blank lines are known).
+NORMAL = [
+    (r"[|/#]+", " "),
+    (r"([.!?;])[ \t]+", "$1|"),
+    (r":(?![ \t])", " "),
+    (r"\r\n?|\n", "/"),
+    (r"[^a-z0-9|/:]+", " "),
+    (r" ?([|/:]) ?", "$1"),
+    (r"[|:]*/[|:]*/[|/:]*", "#"),
+    (r"[|/:]*[|/][|/:]*|:{2,}", "|"),
+]
+
+
+def _known() -> str:
+    """The expression that finds known sentences (its first group) in the normal form, longer ones first."""
+    fixed = [k.replace(" ", "[ |:]") for k in sorted(SENTENCES, key=len, reverse=True)]
+    return r"(?:(?<=[|#])|\G:)(" + "|".join([*fixed, r"spdx license identifier[ :][a-z0-9 ]+", r"copyright (?:c )?(?:[0-9]{4} )+[^|#]*"]) + ")(?=[|#:])"
 
 
 def known_sentences(text: Column) -> Column:
     """Identifiers of the known sentences of ``text``, in order (null for texts without a keyword)."""
     ids = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    normal = F.concat(F.lit("\n"), F.lower(text), F.lit("\n"))
+    for pattern, mark in NORMAL:
+        normal = F.regexp_replace(normal, pattern, mark)
+    found = F.regexp_extract_all(normal, F.lit(_known()), F.lit(1))
 
     def identify(sentence: Column) -> Column:
-        out = F.try_element_at(ids, sentence)
-        for pattern, name in PATTERNS:
-            out = F.coalesce(out, F.when(sentence.rlike(pattern), F.lit(name)))
-        return out
-
-    def worth(sentence: Column) -> Column:
-        return F.lower(sentence).rlike("|".join(KEYWORDS))
+        named = F.when(sentence.startswith("spdx license identifier"), F.lit("spdx")).otherwise(F.try_element_at(ids, F.translate(sentence, "|:", "  ")))
+        return F.coalesce(named, F.lit("copyright"))
 
-    normal = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    parts = F.filter(F.split(text, SENTENCE_END), worth)
-    named = F.filter(F.transform(F.transform(parts, normal), identify), lambda x: x.isNotNull())
-    return F.when(F.lower(text).rlike("|".join(KEYWORDS)), named)
+    return F.when(F.lower(text).rlike("|".join(KEYWORDS)), F.transform(found, identify))
 
 
 def match_rules(ids: Column) -> Column:
@@ -174,6 +190,7 @@ def _quoted(s: str) -> str:
 
 
 def _sql() -> str:
+    # The SQL cuts at every line end: it states the query for texts with each known sentence on one line.
     pairs = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in SENTENCES.items())
     patterns = " ".join(f"WHEN regexp_matches(s.norm, {_quoted(p)}) THEN {_quoted(n)}" for p, n in PATTERNS)
     steps, prev = [], "joined"

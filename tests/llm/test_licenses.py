@@ -1,3 +1,5 @@
+import textwrap
+
 from raretide.llm import licenses
 
 
@@ -20,3 +22,59 @@ def test_rules_and_edge_cases(spark):
 def test_every_sentence_has_a_keyword():
     assert all(any(k in s for k in licenses.KEYWORDS) for s in licenses.SENTENCES)
     assert {i for _, seq in licenses.RULES for i in seq} <= set(licenses.SENTENCES.values())
+
+
+MIT = [
+    "MIT License", "Copyright (c) 2020 Some One",
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software '
+    "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+    "persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR '
+    "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."]
+BSD = [
+    "Copyright 2019 Some One",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+    "provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]
+APACHE = [
+    "Copyright 2021 Some One",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+    "    http://www.apache.org/licenses/LICENSE-2.0",
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY '
+    "KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."]
+GPL = [
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.",
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+    "PURPOSE.  See the GNU General Public License for more details."]
+
+
+def verdicts(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: (r.licenses, r.unknown, list(r.sentences)) for r in licenses.scan(df).collect()}
+
+
+def test_sentences_wrapped_over_lines(spark):
+    wrap = lambda paragraphs, width: "\n\n".join(textwrap.fill(x, width) for x in paragraphs)
+    texts, want = [], []
+    for name, paragraphs in (("MIT", MIT), ("BSD-3-Clause", BSD), ("Apache-2.0", APACHE), ("GPL-3.0-or-later", GPL)):
+        for width in (72, 40, 10000):
+            plain = wrap(paragraphs, width)
+            texts += [plain, plain.replace("\n", "\r\n"), plain.replace("\n", " \n"), "".join(f"# {x}\n" for x in plain.split("\n")),
+                      "/*\n" + "".join(f" * {x}\n" for x in plain.split("\n")) + " */\nint x;"]
+            want += [[name]] * 5
+    got = verdicts(spark, texts)
+    assert [got[i][:2] for i in range(len(texts))] == [(x, False) for x in want]
+
+
+def test_clauses_on_one_line_and_sentences_that_are_none(spark):
+    got = verdicts(spark, [" ".join(MIT[2:]), " ".join(BSD[1:4]), "Apache License\nVersion 2.0, January 2004\nhttp", "Licensed under the\n\nMIT License", "It is not licensed under the\nMIT License",
+                           "Licensed under the\nMIT License and more", "Note: all rights reserved"])
+    assert got[0] == (["MIT"], False, ["mitGrant", "mitNotice", "mitAsIs"])
+    assert got[1] == (["BSD-2-Clause"], False, ["bsdGrant", "bsdSource", "bsdBinary"])
+    assert got[2] == (["Apache-2.0"], False, ["apacheTitle", "apacheVersion"])
+    assert got[3] == ([], False, ["mitTitle"]) and got[4] == ([], False, ["mitTitle"])
+    assert 5 not in got and 6 not in got
