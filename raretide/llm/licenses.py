@@ -11,7 +11,8 @@ identifiers of a text's known sentences, in their order, are then matched with
 the licence rules in order: a rule is a sequence of identifiers that must occur
 in this order; the first rule that matches takes its sentences, and the
 remaining ones go on to the later rules.  Sentences that no rule takes make the
-verdict ``UNKNOWN``.
+verdict ``UNKNOWN``.  An SPDX tag has one identifier (``spdx:mit``) for every
+licence or exception that it names, each a rule of its own.
 
 Texts without any of the words that every known sentence has one of hold no
 known sentence, so they are not cut up.
@@ -106,13 +107,21 @@ RULES = [
     ("Unlicense", ["unlicenseRef"]),
     ("Proprietary", ["allRights"]),
 ]
+#: Ids of SPDX tags; a tag that names one in any spelling of its normal form (or with "-only") has it as its verdict.
+SPDX = ["0BSD", "AFL-3.0", "AGPL-3.0", "AGPL-3.0-or-later", "Apache-1.1", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0",
+        "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2",
+        "GPL-1.0", "GPL-1.0-or-later", "GPL-2.0", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-or-later", "ISC", "LGPL-2.0", "LGPL-2.0-or-later", "LGPL-2.1", "LGPL-2.1-or-later",
+        "LGPL-3.0", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "MS-PL", "NCSA", "OFL-1.1", "OpenSSL", "PostgreSQL", "Python-2.0", "Unlicense", "UPL-1.0", "WTFPL",
+        "X11", "Zlib"]
 #: Identifiers that support a rule but do not ask for a verdict of their own.
-SILENT = ["copyright", "spdx", "mitTitle"]
+SILENT = ["copyright", "mitTitle"]
 #: Every known sentence and pattern has one of these words.
 KEYWORDS = ["licen", "copyright", "permission", "warrant", "permitted", "rights", "redistribut", "january", "endorse", "unencumbered"]
 #: Steps from the lower-case text to the normal form: "|" marks a line or sentence end, "#" a blank line,
 #: ":" a colon before a space ("/" is a line end until blank lines are known).
 NORMAL = [
+    # "GPL-2.0+" in a tag is "GPL-2.0-or-later"
+    (r"(?<=[0-9])\+(?<=spdx-license-identifier:[^\n\r]{0,120}\+)", " or later"),
     (r"[|/#]+", " "),
     (r"([.!?;])[ \t]+", "$1|"),
     (r":(?![ \t])", " "),
@@ -139,10 +148,19 @@ def known_sentences(text: Column) -> Column:
     found = F.regexp_extract_all(normal, F.lit(_known()), F.lit(1))
 
     def identify(sentence: Column) -> Column:
-        named = F.when(sentence.startswith("spdx license identifier"), F.lit("spdx")).otherwise(F.try_element_at(ids, F.translate(sentence, "|:", "  ")))
-        return F.coalesce(named, F.lit("copyright"))
+        named = F.regexp_replace(sentence, "^spdx license identifier[ :]", "")
+        tags = F.transform(F.split(named, " (?:or(?! later\\b)|and|with) "), lambda x: F.concat(F.lit("spdx:"), x))
+        other = F.array(F.coalesce(F.try_element_at(ids, F.translate(sentence, "|:", "  ")), F.lit("copyright")))
+        return F.when(named != sentence, tags).otherwise(other)
 
-    return F.when(F.lower(text).rlike("|".join(KEYWORDS)), F.transform(found, identify))
+    return F.when(F.lower(text).rlike("|".join(KEYWORDS)), F.flatten(F.transform(found, identify)))
+
+
+def tagged(name: Column) -> Column:
+    """The licence that the identifier of an SPDX tag names (null for other identifiers and unknown ids)."""
+    keys = [(i, i.lower().replace("-", " ").replace(".", " ")) for i in SPDX]
+    keys += [(i, f"{k} only") for i, k in keys if "GPL" in i and not k.endswith("later")]
+    return F.try_element_at(F.create_map(*[F.lit(x) for i, k in keys for x in (f"spdx:{k}", i)]), name)
 
 
 def match_rules(ids: Column) -> Column:
@@ -175,7 +193,9 @@ def scan(docs: DataFrame, keep: list[str] | None = None, all_rows: bool = False)
     rows = rows.withColumn("m", match_rules(F.col("sentences")))
     asked = [x for x in {*SENTENCES.values(), *(n for _, n in PATTERNS)} if x not in SILENT]
     unknown = F.exists("sentences", lambda s: s.isin(sorted(asked)) & F.contains(F.col("m.rest"), F.concat(F.lit("|"), s, F.lit("|"))))
-    return rows.select(*keep, "sentences", F.array_sort(F.array_distinct("m.found")).alias("licenses"), unknown.alias("unknown"))
+    unknown = unknown | F.exists("sentences", lambda s: s.startswith("spdx:") & tagged(s).isNull())
+    found = F.concat("m.found", F.array_compact(F.transform("sentences", tagged)))
+    return rows.select(*keep, "sentences", F.array_sort(F.array_distinct(found)).alias("licenses"), unknown.alias("unknown"))
 
 
 def op9_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +210,8 @@ def _quoted(s: str) -> str:
 
 
 def _sql() -> str:
-    # The SQL cuts at every line end: it states the query for texts with each known sentence on one line.
+    # The SQL cuts at every line end: it states the query for texts with each known sentence on one line
+    # and without SPDX tags.
     pairs = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in SENTENCES.items())
     patterns = " ".join(f"WHEN regexp_matches(s.norm, {_quoted(p)}) THEN {_quoted(n)}" for p, n in PATTERNS)
     steps, prev = [], "joined"

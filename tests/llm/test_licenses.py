@@ -78,3 +78,16 @@ def test_clauses_on_one_line_and_sentences_that_are_none(spark):
     assert got[2] == (["Apache-2.0"], False, ["apacheTitle", "apacheVersion"])
     assert got[3] == ([], False, ["mitTitle"]) and got[4] == ([], False, ["mitTitle"])
     assert 5 not in got and 6 not in got
+
+
+def test_spdx_tags_name_their_licence(spark):
+    tag = "SPDX-License-Identifier: "
+    cases = [("// " + tag + "MIT\nint x;", ["MIT"], False, ["spdx:mit"]), ("/* " + tag + "GPL-2.0-only */", ["GPL-2.0"], False, ["spdx:gpl 2 0 only"]),
+             ("# " + tag + "GPL-2.0+", ["GPL-2.0-or-later"], False, ["spdx:gpl 2 0 or later"]), (tag + "LGPL-2.1-or-later", ["LGPL-2.1-or-later"], False, ["spdx:lgpl 2 1 or later"]),
+             (tag + "(MIT OR Apache-2.0)", ["Apache-2.0", "MIT"], False, ["spdx:mit", "spdx:apache 2 0"]),
+             (tag + "GPL-2.0+ AND GPL-3.0+", ["GPL-2.0-or-later", "GPL-3.0-or-later"], False, ["spdx:gpl 2 0 or later", "spdx:gpl 3 0 or later"]),
+             (tag + "GPL-2.0-only WITH Classpath-exception-2.0", ["GPL-2.0"], True, ["spdx:gpl 2 0 only", "spdx:classpath exception 2 0"]),
+             (tag + "LicenseRef-Own", [], True, ["spdx:licenseref own"]), ("SPDX-License-Identifier:ISC", ["ISC"], False, ["spdx:isc"]),
+             ("Copyright 2020 me\n" + tag + "BSD-3-Clause\nReleased under the MIT License.", ["BSD-3-Clause", "MIT"], False, ["copyright", "spdx:bsd 3 clause", "mitRef"])]
+    got = verdicts(spark, [c[0] for c in cases])
+    assert [got[i] for i in range(len(cases))] == [c[1:] for c in cases]
