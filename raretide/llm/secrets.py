@@ -1,7 +1,7 @@
 """Secret scans: native candidate search, random forest against false positives.
 
 One regular expression proposes candidates in the whole text: values assigned
-to a secret-like name, tokens with a vendor prefix, private-key blocks and any
+to a secret-like name (with any prefix), tokens with a vendor prefix, private-key blocks and any
 long run of token characters that holds a digit.  A random forest trained on
 labelled findings then decides; its features are the candidate's length,
 character transitions (class changes, repeats, vowels after consonants),
@@ -40,12 +40,18 @@ PLAIN = ["commit", "sha", "sha1", "sha256", "md5", "id", "uuid", "isbn", "card",
 SAMPLES = ["example", "changeme", "placeholder", "your_", "xxxx", "test", "dummy", "sample", "redacted", "0000", "1234"]
 PARTS = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "ch", "ie", "ge", "un"]
 _VALUE = r"[A-Za-z0-9_\-+/=.~!@#$%^&*]"
+_NAMED = r"[A-Za-z0-9_\-.]*?(?:" + "|".join(NAMES) + r")[A-Za-z0-9_]*+[\"']?[ \t]{0,4}(?::=|=>|[=:])[ \t]{0,4}[\"']?"
+_RUN = r"[A-Za-z0-9_+/=\-]"
+#: Where another candidate begins inside a run of token characters: an assignment to a (prefixed) name.
+_NEXT = r"[+/=](?i:" + _NAMED + _VALUE + r"{6})"
+#: 16 or more token characters, up to the next candidate; none if that one begins sooner.
+_TOKEN = r"(?:" + _RUN + r"{16,}?(?=" + _NEXT + r")|(?!" + _RUN + r"{0,15}?" + _NEXT + r")" + _RUN + r"{16,})"
 CANDIDATE = (
-    r"(?i:(?:" + "|".join(NAMES) + r")[A-Za-z0-9_]*[\"']?[ \t]{0,4}(?::=|=>|[=:])[ \t]{0,4}[\"']?" + _VALUE + r"{6,})"
+    r"(?<![A-Za-z0-9_\-.])(?i:" + _NAMED + _VALUE + r"{6,})"
     r"|-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"
-    r"|(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,}"
+    r"|(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z_+/=\-]*[0-9])" + _TOKEN
 )
-_ASSIGNED = r"^(?i:(?:" + "|".join(NAMES) + r")[A-Za-z0-9_]*[\"']?[ \t]{0,4}(?::=|=>|[=:])[ \t]{0,4}[\"']?)"
+_ASSIGNED = r"^(?i:" + _NAMED + r")"
 FEATURES = ["length", "digits", "uppers", "lowers", "others", "changes", "repeats", "pairs", "coverage", "slashes", "dots", "dashes",
             "prefix", "named", "plain", "sample", "quoted", "only_digits", "only_hex", "key_block", "distinct"]
 

@@ -48,3 +48,21 @@ def test_no_python_in_the_plan(spark):
     df = frame(spark, [(1, f"thin onan {AWS} anenensh")])
     plan = secrets.findings(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_values_of_prefixed_names_go_whole(spark):
+    value = "hunter2Zq81!Kx$9pW#f"
+    names = ["DB_PASSWORD=", "export MY_SERVICE_PROD_DB_PASSWORD=", "AWS_SECRET_ACCESS_KEY = ", "config/DB_PASSWORD=", "spring.db.password: ", "x=DB_PASSWORD=", "--db-password=", "password=",
+             "some/long2/path/to/this/DB_PASSWORD="]
+    df = frame(spark, [(i, f"thin onan {n}{value} anenensh") for i, n in enumerate(names)])
+    rows = secrets.with_features(secrets.candidates(df, ["doc_id"])).collect()
+    assert [sum(r.doc_id == i and r.value == value for r in rows) for i in range(len(names))] == [1] * len(names)
+    texts = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert [texts[i] for i in range(len(names))] == [f"thin onan {n}[SECRET] anenensh" for n in names]
+
+
+def test_a_token_before_an_assignment_stays_a_candidate(spark):
+    texts = [f"x {AWS}/DB_PASSWORD=hunter2Zq81!Kx y", "x DB_PASSWORD=auth=Zq81!Kx$9 y", f"x {HEX} y", "x " + "Ab1/" * 30000 + " y", "password" * 3000 + "1", "x abc/def/gh1==ijklmnop y"]
+    rows = secrets.with_features(secrets.candidates(frame(spark, list(enumerate(texts))), ["doc_id"])).orderBy("doc_id", "start").collect()
+    got = [[r.value for r in rows if r.doc_id == i] for i in range(len(texts))]
+    assert got == [[AWS, "hunter2Zq81!Kx"], ["auth=Zq81!Kx$9"], [HEX], ["Ab1/" * 30000], ["password" * 3000 + "1"], ["abc/def/gh1==ijklmnop"]]
