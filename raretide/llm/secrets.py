@@ -42,13 +42,16 @@ PARTS = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en",
 _VALUE = r"[A-Za-z0-9_\-+/=.~!@#$%^&*]"
 _NAMED = r"[A-Za-z0-9_\-.]*?(?:" + "|".join(NAMES) + r")[A-Za-z0-9_]*+[\"']?[ \t]{0,4}(?::=|=>|[=:])[ \t]{0,4}[\"']?"
 _RUN = r"[A-Za-z0-9_+/=\-]"
-#: Where another candidate begins inside a run of token characters: an assignment to a (prefixed) name.
-_NEXT = r"[+/=](?i:" + _NAMED + _VALUE + r"{6})"
+_VENDOR = r"(?:" + "|".join(PREFIXES) + r")"
+#: Where another candidate begins inside a run of token characters: an assignment to a (prefixed) name, or a
+#: vendor prefix with its token after "/" or "=".
+_NEXT = r"(?:[+/=](?i:" + _NAMED + _VALUE + r"{6})|[/=]" + _VENDOR + _RUN + r"{16})"
 #: 16 or more token characters, up to the next candidate; none if that one begins sooner.
 _TOKEN = r"(?:" + _RUN + r"{16,}?(?=" + _NEXT + r")|(?!" + _RUN + r"{0,15}?" + _NEXT + r")" + _RUN + r"{16,})"
 CANDIDATE = (
-    r"(?<![A-Za-z0-9_\-.])(?i:" + _NAMED + _VALUE + r"{6,})"
+    r"(?:(?<![A-Za-z0-9_\-.])|\G)(?!" + _VENDOR + r"[A-Za-z0-9]{16})(?i:" + _NAMED + _VALUE + r"{6,})"
     r"|-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"
+    r"|(?<![A-Za-z0-9])" + _VENDOR + _TOKEN +
     r"|(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z_+/=\-]*[0-9])" + _TOKEN
 )
 _ASSIGNED = r"^(?i:" + _NAMED + r")"
@@ -98,7 +101,7 @@ def with_features(rows: DataFrame) -> DataFrame:
         return F.regexp_count(v, F.lit(pattern)) / n
 
     covered = F.length(F.regexp_replace(F.lower(v), "(?:" + "|".join(PARTS) + ")", ""))
-    around = F.lower(F.concat_ws(" ", F.coalesce("before", F.lit("")), F.substring("found", 1, 24)))
+    around = F.lower(F.concat_ws(" ", F.coalesce("before", F.lit("")), F.regexp_extract("found", "(?s)^.*[=:]", 0)))
     named = around.rlike(r"(?:" + "|".join(NAMES) + r")[a-z0-9_]*[\"']?\s*(?::=|=>|[=:])\s*[\"']?[^\s]*$")
     named = named | F.col("found").rlike(_ASSIGNED)
     flags = {
