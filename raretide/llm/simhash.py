@@ -116,26 +116,47 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
                text_col: str = "text") -> DataFrame:
     """``(id_col, fp, component_id)`` for every row; the component's smallest id, itself included."""
     fps = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
-    classes = fps.groupBy("fp").agg(F.min(id_col).alias("low"))
+    return fps.join(_lowest(fps, F.col(id_col), max_bits), "fp").select(id_col, "fp", F.col("low").alias("component_id"))
+
+
+def _lowest(fps: DataFrame, rank: Column, max_bits: int) -> DataFrame:
+    """``(fp, low)`` of every distinct ``fp``: the smallest ``rank`` among the rows of its component."""
+    classes = fps.groupBy("fp").agg(F.min(rank).alias("low"))
     found = stored(links(classes.select("fp"), max_bits), "simhash-links")
     roots = connected_components(found).withColumnRenamed("node", "fp")
     classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # both are written first: the joins have plain shuffles on either side then, so AQE splits
     # a component with many fingerprints and a fingerprint with many copies
-    lows = stored(classes.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
-    named = stored(classes.join(lows, "root").select("fp", "component_id"), "simhash-named")
-    return fps.join(named, "fp").select(id_col, "fp", "component_id")
+    lows = stored(classes.groupBy("root").agg(F.min("low").alias("low")), "simhash-lows")
+    return stored(classes.drop("low").join(lows, "root").select("fp", "low"), "simhash-named")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component.
+    """The rows of ``docs`` whose id is the smallest of their component, repeated ones and those without an id too.
 
-    Rows with a null id are kept: nothing names the one that would go.
+    Rows are judged one by one: an id that stands at several texts may stay at one and go at another.
     """
-    comp = components(docs, shingle, max_bits, id_col, text_col)
-    gone = comp.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    tagged, fps = _tagged(docs, shingle, id_col, text_col)
+    low = _lowest(fps, F.col("id"), max_bits)
+    gone = fps.join(low, "fp").where(F.col("id") != F.col("low")).select("__row")
+    return tagged.join(gone, "__row", "left_anti").select(*docs.columns)
+
+
+def keep_one_row(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """One row of every component: the smallest by id (nulls last), fingerprint and text digest; of equal ones any."""
+    tagged, fps = _tagged(docs, shingle, id_col, text_col)
+    low = _lowest(fps, F.struct(F.col("id").isNull(), "id", "fp", "digest", "__row"), max_bits)
+    gone = fps.join(low, "fp").where(F.col("__row") != F.col("low.__row")).select("__row")
+    return tagged.join(gone, "__row", "left_anti").select(*docs.columns)
+
+
+def _tagged(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a ``__row`` of their own, written so that it stays, and ``(__row, id, digest, fp)`` of them."""
+    tagged = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    names = tagged.select("__row", F.col(id_col).alias("id"), F.sha2(F.col(text_col), 256).alias("digest"))
+    return tagged, stored(fingerprints(tagged, shingle, "__row", text_col).join(names, "__row"), "simhash-fp")
 
 
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from raretide.llm import simhash
 from raretide.llm.common import connected_components
 
@@ -80,3 +81,20 @@ def test_connected_components_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 300)] + [(1, 1)]
     out = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(out[i] == 100 for i in range(100, 161)) and all(out[i] == 7 for i in range(200, 300)) and 1 not in out
+
+
+def test_one_row_of_every_component_stays(spark):
+    rnd = random.Random(11)
+    a, b, c = (" ".join(f"{k}{rnd.randint(0, 10**6)}" for _ in range(60)) for k in "abc")
+    rows = [(1, b, 0), (5, a, 1), (5, b, 2), (7, c, 3), (7, c, 4), (None, c, 5), (None, "alone in here for all time", 6), (None, "alone in here for all time", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, low int").repartition(3)
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(df).where("doc_id < 7").collect()) == [(1, b), (5, a)]
+    kept = simhash.keep_one_row(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, b), (5, a), (7, c), (None, "alone in here for all time")], key=str)
+    assert simhash.keep_one_row(df.where("false")).count() == 0
+
+
+def test_the_pipeline_keeps_one_row_of_every_component(spark):
+    df = spark.createDataFrame([(7, "one two three four five"), (7, "one two three four five"), (None, "one two three four five")], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()] == [7]
