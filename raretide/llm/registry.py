@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from raretide.llm import decontaminate, langid, licenses, maxscore, mixing, quality, secrets, simhash, suffixes, warc
+from raretide.llm import decontaminate, langid, licenses, maxscore, mixing, quality, secrets, simhash, suffixes, warc, whitening
 
 QUERIES = {
     "op1_warc_normaliser": warc.op1_warc_normaliser,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_quality_ranking": quality.op10_quality_ranking,
     "op4_source_mix": mixing.op4_source_mix,
     "op7_simhash_components": simhash.op7_simhash_components,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {
