@@ -3,13 +3,43 @@
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raretide.session import checkpoint_root
 
 
+_BASE = 0xA24BAED4963EE407
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+
+
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, _INVERSE):
+        line = np.full(size, base, dtype=np.uint64)
+        line[0] = 1
+        out.append(np.multiply.accumulate(line))
+    return out[0], out[1]
+
+
+def hash_power(n: int) -> int:
+    """What the hash of a string is multiplied by when n bytes precede it."""
+    return pow(_BASE, n, 1 << 64)
+
+
+def running_hash(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, back) of a byte array: (sums[z] - sums[a]) * back[a] is a 64-bit hash of raw[a:z], wherever it stands."""
+    up, back = _powers(1 << max(16, len(raw).bit_length()))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * up[:len(raw)], dtype=np.uint64, out=sums[1:])
+    return sums, back
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from raretide.llm import decontaminate, langid, licenses, maxscore, mixing, quality, secrets, simhash, suffixes, warc, whitening
+from raretide.llm import (decontaminate, filter_audit, langid, licenses, maxscore, mixing, multiset_hash, quality, secrets, simhash, suffixes, warc,
+                          whitening)
 
 QUERIES = {
     "op1_warc_normaliser": warc.op1_warc_normaliser,
@@ -15,7 +16,9 @@ QUERIES = {
     "op10_quality_ranking": quality.op10_quality_ranking,
     "op4_source_mix": mixing.op4_source_mix,
     "op7_simhash_components": simhash.op7_simhash_components,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_document_fingerprints": multiset_hash.op13_document_fingerprints,
 }
 
 ORACLE: dict[str, str] = {
@@ -23,4 +26,5 @@ ORACLE: dict[str, str] = {
     "op3_maxscore_top5": maxscore.SQL,
     "op4_source_mix": mixing.SQL,
     "op9_license_sentences": licenses.SQL,
+    "op11_filter_audit": filter_audit.SQL,
 }
