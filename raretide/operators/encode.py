@@ -22,6 +22,7 @@ encodes to ``g``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,14 +105,18 @@ class TargetEncoderModel:
             out.append(F.when(b.isNull(), F.lit(self.prior)).otherwise(self._lookup(flat, key)).alias(self.prefix + c))
         return train.select("*", *out)
 
-    def transform_test(self, test: DataFrame) -> DataFrame:
-        """Test rows: statistics of the whole training table."""
+    def full_columns(self) -> list[Column]:
+        """The encodings by the statistics of the whole training table, one per column."""
         out = []
         for c in self.cols:
             b = bin_expr(F.col(c), self.inner[c])
             out.append(F.when(b.isNull(), F.lit(self.prior))
                        .otherwise(self._lookup(self.full.get(c, {}), b.cast("long"))).alias(self.prefix + c))
-        return test.select("*", *out)
+        return out
+
+    def transform_test(self, test: DataFrame) -> DataFrame:
+        """Test rows: statistics of the whole training table."""
+        return test.select("*", *self.full_columns())
 
 
 def fold_stats(binned: DataFrame, cols: list[str], prior: float, smooth: float, label: str = "target",
@@ -170,3 +175,80 @@ class TargetEncoder:
         for (c, b), (n, s_) in totals.items():
             model.full.setdefault(c, {})[b] = (s_ + self.smooth * prior) / (n + self.smooth)
         return model
+
+
+class NestedTargetEncoder:
+    """Encodings that a model trained outside fold ``o`` may use, for every ``o`` (leak-safe cross-validation).
+
+    For the outer fold ``o`` nothing is learnt from its labels or values: the bin edges
+    are quantiles of the rows outside it (and the test rows), the prior is their mean.  A
+    training row of fold ``i`` takes the rate of the rows outside ``o`` and ``i``, a row of
+    fold ``o`` and a test row that of all rows outside ``o``.  One aggregate counts
+    (outer, column, bin, fold); every rate is a total less a part of it.
+    """
+
+    def __init__(self, cols: list[str], k: int, smooth: float = 30.0, n_bins: int = 20, label: str = "target",
+                 fold_col: str = "fold", exact: bool = True, prefix: str = "te_"):
+        self.cols, self.k, self.smooth, self.n_bins = list(cols), k, float(smooth), n_bins
+        self.label, self.fold_col, self.exact, self.prefix = label, fold_col, exact, prefix
+
+    def fit(self, train: DataFrame, test: DataFrame | None = None) -> NestedTargetEncoderModel:
+        cols = [c for c in self.cols if c in train.columns]
+        outers = range(self.k)
+        y, fold = F.col(self.label).cast("double"), F.col(self.fold_col)
+        row = train.agg(*[F.avg(F.when(fold != o, y)) for o in outers]).first()
+        priors = [float(v) if v is not None else 0.0 for v in row]
+
+        def edges_of(o: int) -> dict[str, list[float] | None]:
+            rows = quantile_edges(train.where(fold != o), test, cols, self.n_bins, self.exact).collect()
+            return {c: inner_edges([r["edge"] for r in sorted((r for r in rows if r["col"] == c), key=lambda r: r["q_idx"])]) for c in cols}
+
+        with ThreadPoolExecutor(max_workers=self.k) as pool:
+            inner = list(pool.map(edges_of, outers))
+        cells = [F.struct(F.lit(o).alias("outer"), F.lit(c).alias("col"), bin_expr(F.col(c), inner[o][c]).alias("bin")) for o in outers for c in cols]
+        long = train.select(fold.alias("fold"), F.col(self.label).cast("long").alias("y"), F.explode(F.array(*cells)).alias("x"))
+        long = long.select("fold", "y", "x.*").where((F.col("fold") != F.col("outer")) & F.col("bin").isNotNull())
+        # outers x columns x bins x folds rows
+        counts = long.groupBy("outer", "col", "bin", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")).collect()
+        totals: dict[tuple[int, str, int], list[int]] = {}
+        for r in counts:
+            t = totals.setdefault((r["outer"], r["col"], r["bin"]), [0, 0])
+            t[0] += int(r["n"])
+            t[1] += int(r["s"])
+        models = [TargetEncoderModel(cols, priors[o], inner[o], fold_col=self.fold_col, prefix=self.prefix) for o in outers]
+        rate = lambda o, n, s: (s + self.smooth * priors[o]) / (n + self.smooth)
+        for (o, c, b), (n, s) in totals.items():
+            models[o].full.setdefault(c, {})[b] = rate(o, n, s)
+        for r in counts:
+            n, s = totals[r["outer"], r["col"], r["bin"]]
+            models[r["outer"]].oof.setdefault(r["col"], {})[r["fold"], r["bin"]] = rate(r["outer"], n - int(r["n"]), s - int(r["s"]))
+        return NestedTargetEncoderModel(models, self.fold_col)
+
+
+@dataclass
+class NestedTargetEncoderModel:
+    models: list[TargetEncoderModel]
+    fold_col: str = "fold"
+
+    def names(self, outer: int) -> dict[str, str]:
+        """The encoded columns' names in a table that holds those of all outer folds."""
+        m = self.models[outer]
+        return {m.prefix + c: f"{m.prefix}{c}__o{outer}" for c in m.cols}
+
+    def transform_train(self, train: DataFrame, outer: int) -> DataFrame:
+        """``train`` with the encodings of the model that is validated on fold ``outer``."""
+        m = self.models[outer]
+        inside = m.transform_oof(train)
+        full = {m.prefix + c: e for c, e in zip(m.cols, m.full_columns())}
+        return inside.select(*[F.when(F.col(self.fold_col) == outer, full[c]).otherwise(F.col(c)).alias(c) if c in full else F.col(c) for c in inside.columns])
+
+    def transform_test(self, test: DataFrame, outer: int) -> DataFrame:
+        return self.models[outer].transform_test(test)
+
+    def transform_all(self, df: DataFrame, train: bool) -> DataFrame:
+        """``df`` with the encodings for every outer fold, named by :meth:`names`."""
+        out = df
+        for o in range(len(self.models)):
+            done = self.transform_train(out, o) if train else self.transform_test(out, o)
+            out = done.withColumnsRenamed(self.names(o))
+        return out

@@ -13,6 +13,14 @@ on ``fold != f`` (plus that split's synthetic rows), scores ``fold == f``
 and the test table; out-of-fold scores are the union of the validation
 scores, test scores the mean over fold models (``groupBy(id).avg``).  Every
 fit is a distributed Spark ML job; the driver only loops over folds.
+
+Early stopping fits a boosted model once: its trees were added one by one, so the
+model of the first n trees is a prefix of it.  One pass over the validation fold gives
+the loss after every tree, and the best prefix scores (:func:`prefix_model`).
+
+The parameter search runs in rungs: all trials with few trees, the best ones again with
+more, until few are left (:func:`rung_search`); the winner's parameters replace the
+member's own.
 """
 
 from __future__ import annotations
@@ -20,11 +28,13 @@ from __future__ import annotations
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raretide.operators.metrics import average_precision, roc_auc
@@ -99,6 +109,21 @@ def best_iteration(model, valid: DataFrame) -> int:
     return int(min(range(len(losses)), key=lambda i: (losses[i], i))) + 1
 
 
+def prefix_model(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The boosted model of the first ``n`` trees of ``model``; equal to a fit that stops there."""
+    spark = SparkSession.active()
+    gateway = spark.sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    own, weights = model._java_obj.trees(), model.treeWeights
+    n = max(1, min(n, len(weights)))
+    trees, shares = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n), gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], shares[i] = own[i], weights[i]
+    java = ml.classification.GBTClassificationModel(f"{model.uid}_first_{n}", trees, shares)
+    java.setFeaturesCol(model.getFeaturesCol())
+    return GBTClassificationModel(java)
+
+
 def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m: Member, k: int, spw: float,
               synthetic: DataFrame | None = None, seed: int = 42, label: str = "target", fold_col: str = "fold",
               early_stop: bool = False, extra_train: DataFrame | None = None,
@@ -126,11 +151,9 @@ def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m:
         fit_rows = va.transform(with_weight(fit_rows, spw, label))
         val = va.transform(base.filter(F.col(fold_col) == f))
         model = m.estimator(seed).fit(fit_rows)
-        if early_stop and hasattr(model, "evaluateEachIteration"):
-            best = best_iteration(model, val)
-            iters[f] = best
-            if best < m.max_iter:
-                model = Member(m.name, m.params, best).estimator(seed).fit(fit_rows)
+        if early_stop and isinstance(model, GBTClassificationModel):
+            iters[f] = best_iteration(model, val)
+            model = prefix_model(model, iters[f])
         return model, val
 
     with ThreadPoolExecutor(max_workers=max(1, min(k, parallelism or k))) as pool:
@@ -161,20 +184,46 @@ def fold_metrics(oof: DataFrame) -> DataFrame:
     return average_precision(oof, k).join(roc_auc(oof, k), k)
 
 
+def logistic_newton(rows: DataFrame, cols: list[str], C: float = 1.0, label: str = "target", max_iter: int = 50, tol: float = 1e-12) -> list[float]:
+    """Intercept and weights that minimise ``C * log-loss sum + |weights|^2 / 2``, by reweighted normal equations.
+
+    Every Newton step is one aggregation: the (d + 1) x (d + 1) weighted sums and the
+    gradient, whose size depends on the number of columns alone; the driver solves it.
+    """
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in cols]]
+    d = len(x)
+    beta = np.zeros(d)
+    penalty = np.diag([0.0] + [1.0 / C] * (d - 1))
+    for _ in range(max_iter):
+        margin = reduce(lambda a, b: a + b, [F.lit(float(w)) * v for w, v in zip(beta, x)])
+        p = 1 / (1 + F.exp(-margin))
+        w = p * (1 - p)
+        cells = [(i, j) for i in range(d) for j in range(i, d)]
+        row = rows.agg(*[F.sum(w * x[i] * x[j]) for i, j in cells], *[F.sum((F.col(label) - p) * v) for v in x]).first()
+        if row[0] is None:
+            return [0.0] * d
+        h = np.zeros((d, d))
+        for (i, j), v in zip(cells, row):
+            h[i, j] = h[j, i] = v
+        # rows of one class alone push the intercept to infinity: the steps are held then
+        step = np.linalg.lstsq(h + penalty + 1e-12 * np.eye(d), np.array(row[len(cells):]) - penalty @ beta, rcond=None)[0]
+        step *= min(1.0, 10.0 / max(1e-300, float(np.abs(step).max())))
+        beta = beta + step
+        if float(np.abs(step).max()) < tol:
+            break
+    return [float(b) for b in beta]
+
+
 def meta_stack(oof_wide: DataFrame, test_wide: DataFrame, models: list[str], C: float = 1.0,
                label: str = "target") -> tuple[DataFrame, DataFrame]:
     """Logistic regression on z-scored member scores (population std), scored in-sample and on test."""
     from raretide.operators.impute import fit_standardiser
     st = fit_standardiser(oof_wide, models)
-    n = oof_wide.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (C * n), elasticNetParam=0.0,
-                            standardization=False, maxIter=100)
-    va = assembler(models)
-    tr = va.transform(st.transform(oof_wide).withColumn("label", F.col(label).cast("double")))
-    model = lr.fit(tr)
-    oof_s = positive_score(model.transform(tr)).select("id", label, F.col("score").alias("meta"))
-    tst = positive_score(model.transform(va.transform(st.transform(test_wide)))).select("id", F.col("score").alias("meta"))
-    return oof_s, tst
+    tr = st.transform(oof_wide)
+    beta = logistic_newton(tr, models, C, label)
+    margin = reduce(lambda a, b: a + b, [F.lit(w) * F.col(m) for w, m in zip(beta[1:], models)], F.lit(beta[0]))
+    score = (1 / (1 + F.exp(-margin))).alias("meta")
+    return tr.select("id", label, score), st.transform(test_wide).select("id", score)
 
 
 # Search ranges of the v4 hyper-parameter search (learning rate log-uniform
@@ -209,21 +258,43 @@ def sample_params(n_trials: int, seed: int = 42, space: dict | None = None) -> l
     return out
 
 
-def random_search(train: DataFrame, features: list[str], base: Member, k: int, spw: float, n_trials: int,
-                  seed: int = 42, parallelism: int = 2, synthetic: DataFrame | None = None) -> DataFrame:
-    """Mean inner-CV AP per trial; trials run as concurrent Spark jobs from a thread pool."""
+def rung_search(train: DataFrame, features: list[str], base: Member, k: int, spw: float, n_trials: int, seed: int = 42,
+                parallelism: int = 2, synthetic: DataFrame | None = None, trees: int | None = None, keep: int = 3) -> tuple[DataFrame, dict]:
+    """Every evaluation ``(trial, rung, trees, mean_ap, params)`` of a search, and the winner's parameters.
+
+    Rung 0 fits all trials with few trees; of each rung the best 1 / ``keep`` go on with
+    ``keep`` times as many, the last rung at ``trees`` (the member's own number by default).
+    ``train`` holds the inner folds, ``synthetic`` their synthetic rows (one set per inner
+    split), so no trial sees a row made from its validation fold.  Trials run as
+    concurrent Spark jobs; ties go to the earlier trial.
+    """
     spark = train.sparkSession
     trials = sample_params(n_trials, seed)
+    alive, rows, rung = list(range(n_trials)), [], 0
+    top = trees or base.max_iter
+    rungs = 0
+    while n_trials > keep ** (rungs + 1):
+        rungs += 1
+    while True:
+        size = max(1, top // keep ** (rungs - rung))
+
+        def run(i: int) -> tuple[int, float]:
+            m = Member(f"trial_{i}", {**base.params, **trials[i]}, size)
+            cv = cross_val(train, None, features, m, k, spw, synthetic, seed, early_stop=True)
+            ap = average_precision(cv.oof, ["fold"]).agg(F.avg("ap")).first()[0]
+            return i, float(ap) if ap is not None else float("-inf")
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            done = sorted(pool.map(run, alive), key=lambda t: (-t[1], t[0]))
+        rows += [(i, rung, size, ap if ap > float("-inf") else None, {n: str(v) for n, v in trials[i].items()}) for i, ap in done]
+        if rung == rungs:
+            break
+        alive, rung = [i for i, _ in done[:max(1, -(-len(done) // keep))]], rung + 1
+    table = spark.createDataFrame(rows, "trial int, rung int, trees int, mean_ap double, params map<string,string>")
+    return table, trials[done[0][0]]
 
-    def run(i_p):
-        i, p = i_p
-        params = dict(base.params)
-        params.update(p)
-        cv = cross_val(train, None, features, Member(f"trial_{i}", params, base.max_iter), k, spw, synthetic, seed)
-        ap = average_precision(cv.oof, ["fold"]).agg(F.avg("ap")).first()[0]
-        return (i, float(ap) if ap is not None else None, {kk: str(v) for kk, v in p.items()})
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = list(ex.map(run, list(enumerate(trials))))
-    return spark.createDataFrame(
-        [(i, ap, params) for i, ap, params in rows], "trial int, mean_ap double, params map<string,string>")
+
+def random_search(train: DataFrame, features: list[str], base: Member, k: int, spw: float, n_trials: int,
+                  seed: int = 42, parallelism: int = 2, synthetic: DataFrame | None = None) -> DataFrame:
+    """The evaluations of :func:`rung_search`."""
+    return rung_search(train, features, base, k, spw, n_trials, seed, parallelism, synthetic)[0]

@@ -315,11 +315,10 @@ def _smote_input(spark, sf):
 
 
 def q_smote_knn(spark, sf):
-    from raretide.operators import resample
+    from raretide.operators import neighbours
     t = _smote_input(spark, sf)
-    pos = t.filter(F.col("target") == 1).select("id", "fold", "target",
-                                                F.array(*[F.col(c) for c in FEATURES]).alias("vec"))
-    nn = resample.knn(resample.minority_groups(pos, 5), k=5)
+    pos = t.filter(F.col("target") == 1).select("id", "fold", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("vec"))
+    nn = neighbours.split_neighbours(pos, 5, k=5)
     return nn.select(F.col("tf").cast("int").alias("tf"), "id", "rank", "nn_id", r6("dist").alias("dist"))
 
 
