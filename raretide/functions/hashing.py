@@ -30,13 +30,18 @@ def mult_hash32(id_col: Column | str, seed: int = 42) -> Column:
     return F.pmod(prod + F.lit(seed), F.lit(MOD32))
 
 
+def digest52(*cols: Column) -> Column:
+    """52 bits of the MD5 of the values joined by colons, as a long: a draw that any SQL engine can repeat."""
+    text = F.concat_ws(":", *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+
+
 def uniform01(*cols: Column) -> Column:
-    """A value in [0, 1) that is a pure function of ``cols`` (53-bit grid)."""
-    h = F.xxhash64(*cols)
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
+    """A value in [0, 1) that is a pure function of ``cols`` (52-bit grid)."""
+    return digest52(*cols).cast("double") / float(1 << 52)
 
 
 def draw_index(n: Column | int, *cols: Column) -> Column:
     """An integer in [0, n) that is a pure function of ``cols``."""
     nn = F.lit(n) if isinstance(n, int) else n
-    return F.pmod(F.xxhash64(*cols), nn.cast("long"))
+    return F.pmod(digest52(*cols), nn.cast("long"))

@@ -8,16 +8,17 @@ the SQL oracle can compare values; keys and counts are exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from raretide.functions import features as fx
 from raretide.operators import blend, encode, folds, impute, metrics, profile, ranknorm
-from raretide.plans.fixture import (FEATURES, MODELS, folded_train, oof_long, oof_wide, r6, split, test_long,
+from raretide.plans.fixture import (FEATURES, K_FOLDS, MODELS, folded_train, oof_long, oof_wide, r6, split, test_long,
                                     test_wide)
 from raretide.sources.entities import entity_features
-from raretide.spec import FIXTURE, FeatureSpec
+from raretide.spec import FIXTURE, FIXTURE_PRESETS, FeatureSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 TE_COLS = list(FIXTURE.te_cols)
@@ -335,6 +336,71 @@ def q_smote_check(spark, sf):
                       .alias("share_after"))
 
 
+def q_smote_draws(spark, sf):
+    from raretide.operators import resample
+    syn, _ = resample.oversample(_smote_input(spark, sf), FEATURES, 5, ratio=0.10, k=5)
+    return _round_doubles(syn.select(F.col("tf").cast("int").alias("tf"), "syn_id", "base_id", "nn_id", "u", *FEATURES))
+
+
+def _engineer_version(v):
+    def query(spark, sf):
+        train, _ = split(spark, sf)
+        spec = FIXTURE_PRESETS[v]
+        detected = profile.detect_binary(train, FEATURES) if spec.auto_binary else None
+        e = fx.engineer(train, spec, FEATURES, detected)
+        return _pick(e, [c for c in e.columns if c != "id"])
+    return query
+
+
+def q_nulls_finished(spark, sf):
+    """Null cells of the engineered and encoded training matrix, before and after imputation."""
+    f, test, m = _te_model(spark, sf)
+    raw = m.transform_oof(fx.engineer(f, FIXTURE, FEATURES))
+    cols = [c for c in raw.columns if c not in ("id", "target", "fold")]
+    full = impute.MedianImputer(cols).fit(raw).transform(raw)
+    before = profile.nulls_remaining(raw, cols).select(F.col("n_null").alias("n_null_before"))
+    return profile._one_row_join(profile.nulls_remaining(full, cols), before)
+
+
+def q_te_nested(spark, sf):
+    f = folded_train(spark, sf)
+    _, test = split(spark, sf)
+    m = encode.NestedTargetEncoder(TE_COLS, K_FOLDS, smooth=30, n_bins=20).fit(f, test)
+    names = [f"te_{c}" for c in TE_COLS]
+    parts = [m.transform_train(f, o).select(F.lit(o).alias("outer_fold"), "id", *names) for o in range(K_FOLDS)]
+    return _round_doubles(reduce(DataFrame.unionByName, parts).unpivot(["outer_fold", "id"], names, "col", "te"))
+
+
+def _stumps(spark, sf):
+    from raretide.operators import stump
+    train, test = split(spark, sf)
+    spw = profile.target_profile(train).first()["scale_pos_weight"]  # one number
+    return stump.stump_scores(folded_train(spark, sf), test, FEATURES, K_FOLDS, spw)
+
+
+def q_stump_oof(spark, sf):
+    return _round_doubles(_stumps(spark, sf)[0])
+
+
+def q_stump_test_mean(spark, sf):
+    return _round_doubles(_stumps(spark, sf)[1])
+
+
+def q_meta_stack(spark, sf):
+    from raretide.operators import learners
+    oof_s, tst = learners.meta_stack(oof_wide(spark, sf), test_wide(spark, sf), ["m1", "m2"])
+    return _round_doubles(oof_s.select("id", F.lit("oof").alias("split"), "meta").unionByName(
+        tst.select("id", F.lit("test").alias("split"), "meta")))
+
+
+def q_isotonic(spark, sf):
+    from raretide.operators import calibrate
+    oof = oof_wide(spark, sf).select("id", "target", F.col("m1").alias("score"))
+    model = calibrate.fit_isotonic(oof)
+    out = calibrate.apply_isotonic(model, test_wide(spark, sf).select("id", F.col("m1").alias("score")))
+    return _round_doubles(out.select("id", "score", "calibrated"), keep=("score",))
+
+
 SQL_QUERIES: dict[str, Query] = {
     "scan_entities": q_scan_entities,
     "profile_target": q_profile_target,
@@ -382,6 +448,17 @@ SQL_QUERIES: dict[str, Query] = {
     "blend_search3": q_blend_search3,
     "blend_search4": q_blend_search4,
     "scan_csv": q_scan_csv,
+    "smote_draws": q_smote_draws,
+    "engineer_v1": _engineer_version(1),
+    "engineer_v2": _engineer_version(2),
+    "engineer_v3": _engineer_version(3),
+    "nulls_finished": q_nulls_finished,
+    "te_nested": q_te_nested,
+    "stump_oof": q_stump_oof,
+    "stump_test_mean": q_stump_test_mean,
+    "meta_stack": q_meta_stack,
+    "isotonic": q_isotonic,
+    "stage_resume": lambda spark, sf: q_stage_resume(spark, sf),
     "final_select": lambda spark, sf: q_final_select(spark, sf),
     "submission": lambda spark, sf: q_submission(spark, sf),
 }
@@ -441,13 +518,6 @@ def q_best_iteration(spark, sf):
     return spark.createDataFrame(rows, "fold int, best_iter int, max_iter int")
 
 
-def q_meta_stack(spark, sf):
-    from raretide.operators import learners
-    oof_s, tst = learners.meta_stack(oof_wide(spark, sf), test_wide(spark, sf), ["m1", "m2"])
-    return oof_s.select("id", F.lit("oof").alias("split"), "meta").unionByName(
-        tst.select("id", F.lit("test").alias("split"), "meta"))
-
-
 def q_random_search(spark, sf):
     from raretide.operators import learners
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
@@ -455,14 +525,6 @@ def q_random_search(spark, sf):
     return learners.random_search(folded, feats, learners.member("lgb", 5), 3, spw, n_trials=3, parallelism=3)
 
 
-def q_isotonic(spark, sf):
-    from raretide.operators import calibrate
-    oof = oof_wide(spark, sf).select("id", "target", F.col("m1").alias("score"))
-    model = calibrate.fit_isotonic(oof)
-    out = calibrate.apply_isotonic(model, test_wide(spark, sf).select("id", F.col("m1").alias("score")))
-    return out.select("id", "score", "calibrated")
-
-
 def _standin_final(spark, sf):
     models = ["m1", "m2", "m3"]
     ow, tw = oof_wide(spark, sf), test_wide(spark, sf)
@@ -549,10 +611,7 @@ ROWS_QUERIES: dict[str, Query] = {
     "rf_oof": q_rf_oof,
     "gbt_presets": q_gbt_presets,
     "best_iteration": q_best_iteration,
-    "meta_stack": q_meta_stack,
     "random_search": q_random_search,
-    "isotonic": q_isotonic,
-    "stage_resume": q_stage_resume,
     "pseudo_refit": q_pseudo_refit,
     "score_plan": q_score_plan,
 }

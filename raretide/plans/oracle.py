@@ -8,7 +8,7 @@ are expanded in Python; the logic is SQL.
 
 from __future__ import annotations
 
-from raretide.spec import FIXTURE
+from raretide.spec import FIXTURE, FIXTURE_PRESETS
 
 FEATS = [f"feature_{i}" for i in range(1, 13)]
 TE = list(FIXTURE.te_cols)
@@ -159,18 +159,38 @@ def _num(c):
     return c.split("_", 1)[1]
 
 
+def _auto_sum() -> str:
+    """Sum of the columns that the ``bin_auto`` CTE found binary."""
+    return _sum([f"CASE WHEN list_contains((SELECT cols FROM bin_auto), '{c}') THEN coalesce({c}, 0.0) ELSE 0.0 END" for c in FEATS])
+
+
+BIN_AUTO = "bin_auto AS (SELECT list(\"column\") AS cols FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", coalesce(bool_and(coalesce({c} IN (0, 1), true)), true) AS b FROM train" for c in FEATS) + ") WHERE b)"
+
+
 def engineered_sql(spec=FIXTURE, cols=FEATS) -> dict[str, str]:
-    """Every engineered column of the fixture spec as SQL over ``train`` + ``__n``/``__mean``."""
+    """Every engineered column of a fixture spec as SQL over ``train`` + ``__n``/``__mean``."""
     out: dict[str, str] = {}
     for c in spec.miss_cols:
         out[f"{c}_miss"] = f"CAST({c} IS NULL AS INTEGER)"
-    out.update(row_feature_sql(cols))
+    stats = row_feature_sql(cols)
+    if spec.version < 2:
+        stats["fe_zero_count"] = f"CAST({_sum([f'CAST(coalesce({c} = 0, false) AS INTEGER)' for c in cols])} AS DOUBLE)"
+    for name, wanted in (("fe_row_median", spec.row_median), ("fe_row_skew", spec.row_skew), ("fe_row_kurt", spec.row_kurt)):
+        if not wanted:
+            del stats[name]
+    out.update(stats)
     b = list(spec.binary_cols)
-    out["fe_binary_sum"] = sql_rowsum(b)
-    out["fe_binary_mean"] = f"({sql_rowsum(b)} / {float(len(b))})"
-    for i, c1 in enumerate(b[:8]):
-        for c2 in b[i + 1:9]:
-            out[f"fe_{c1}_{c2}"] = f"CAST(coalesce({c1}, 0.0) * coalesce({c2}, 0.0) AS INTEGER)"
+    if spec.auto_binary:
+        out["fe_binary_sum"] = _auto_sum()
+    elif b:
+        out["fe_binary_sum"] = sql_rowsum(b)
+        if spec.binary_mean:
+            out["fe_binary_mean"] = f"({sql_rowsum(b)} / {float(len(b))})"
+    if spec.pairwise:
+        for i, c1 in enumerate(b[:8]):
+            for c2 in b[i + 1:9]:
+                out[f"fe_{c1}_{c2}"] = f"CAST(coalesce({c1}, 0.0) * coalesce({c2}, 0.0) AS INTEGER)"
     for a, d, safe in spec.ratios:
         na, nd = (f"coalesce({a}, 0.0)", f"coalesce({d}, 0.0)") if safe else (a, d)
         out[f"fe_ratio_{_num(a)}_{_num(d)}"] = f"(CASE WHEN {nd} + 1 = 0 THEN NULL ELSE {na} / ({nd} + 1) END)"
@@ -180,15 +200,18 @@ def engineered_sql(spec=FIXTURE, cols=FEATS) -> dict[str, str]:
         out[f"fe_{_num(a)}_sq"] = f"({a} * {a})"
     for a, safe in spec.logs:
         x = f"coalesce({a}, 0.0)" if safe else a
-        out[f"fe_{_num(a)}_log"] = f"ln(1 + greatest({x}, 0.0))"
-    d = spec.dominant
-    dz = f"coalesce({d}, 0.0)"
-    for c, safe in spec.dominant_with:
-        out[f"fe_{_num(d)}_x_{_num(c)}"] = f"({dz} * {('coalesce(' + c + ', 0.0)') if safe else c})"
-    dv = f"coalesce({spec.dominant_div}, 0.0)"
-    out[f"fe_{_num(d)}_div_{_num(spec.dominant_div)}"] = f"(CASE WHEN {dv} + 1 = 0 THEN NULL ELSE {dz} / ({dv} + 1) END)"
-    out[f"fe_{_num(d)}_sq"] = f"({dz} * {dz})"
-    out["fe_miss_pattern_sum"] = f"CAST({sql_nan(list(spec.miss_cols))} AS DOUBLE)"
+        # greatest() skips nulls: a null stays null unless it counts as 0
+        out[f"fe_{_num(a)}_log"] = f"ln(1 + greatest({x}, 0.0))" if safe else f"(CASE WHEN {a} IS NOT NULL THEN ln(1 + greatest({a}, 0.0)) END)"
+    if spec.dominant:
+        d = spec.dominant
+        dz = f"coalesce({d}, 0.0)"
+        for c, safe in spec.dominant_with:
+            out[f"fe_{_num(d)}_x_{_num(c)}"] = f"({dz} * {('coalesce(' + c + ', 0.0)') if safe else c})"
+        dv = f"coalesce({spec.dominant_div}, 0.0)"
+        out[f"fe_{_num(d)}_div_{_num(spec.dominant_div)}"] = f"(CASE WHEN {dv} + 1 = 0 THEN NULL ELSE {dz} / ({dv} + 1) END)"
+        out[f"fe_{_num(d)}_sq"] = f"({dz} * {dz})"
+    if spec.miss_pattern_sum and spec.miss_cols:
+        out["fe_miss_pattern_sum"] = f"CAST({sql_nan(list(spec.miss_cols))} AS DOUBLE)"
     return out
 
 
@@ -208,13 +231,13 @@ def eng_select(names: list[str]) -> str:
     return with_base(f"SELECT id, {', '.join(parts)} FROM {ENG_SRC} t")
 
 
-def _eng_all() -> str:
-    ex = engineered_sql()
+def _eng_all(spec=FIXTURE) -> str:
+    ex = engineered_sql(spec)
     base = ["target"] + FEATS
     parts = [f"{c}" if c == "target" else f"{r6(c)} AS {c}" for c in base]
     for nm, e in ex.items():
         parts.append(f"{e} AS {nm}" if (nm in INT_COLS or nm.startswith("fe_feature_")) else f"{r6(e)} AS {nm}")
-    return with_base(f"SELECT id, {', '.join(parts)} FROM {ENG_SRC} t")
+    return with_base(f"SELECT id, {', '.join(parts)} FROM {ENG_SRC} t", BIN_AUTO if spec.auto_binary else "")
 
 
 # ---------------------------------------------------------------- target encoding
@@ -416,6 +439,75 @@ def oracle_sql() -> dict[str, str]:
         "SELECT n_high, n_low, n_high + n_low AS n_pseudo, (n_high + n_low) > 500 AS use_pseudo FROM ("
         "SELECT count(*) FILTER (WHERE m1 > 0.85) AS n_high, count(*) FILTER (WHERE m1 < 0.005) AS n_low FROM testw)")
 
+    # the earlier feature sets, and the nulls of the finished matrix
+    for v in (1, 2, 3):
+        q[f"engineer_v{v}"] = _eng_all(FIXTURE_PRESETS[v])
+    ex = engineered_sql()
+    nulls = " + ".join(f"CAST(({e}) IS NULL AS INTEGER)" for e in [*FEATS, *ex.values()])
+    q["nulls_finished"] = with_base(
+        f"SELECT count(*) AS n_rows, CAST({len(FEATS) + len(ex) + len(TE)} AS BIGINT) AS n_cols, CAST(0 AS BIGINT) AS n_null, "
+        f"CAST(sum({nulls}) AS BIGINT) AS n_null_before FROM {ENG_SRC} t")
+    q["stage_resume"] = (f"WITH {ENTITY}, c AS (SELECT count(*) AS n FROM entity_features)\nSELECT step, step = 3 AS fingerprint_changed, "
+                         "step <> 2 AS rebuilt, n AS n_rows FROM c, (SELECT unnest([1, 2, 3])::INTEGER AS step)")
+
+    # isotonic fit: from each corner of the lower hull of the cumulative sums to the corner of the least slope
+    q["isotonic"] = "WITH RECURSIVE" + with_base(
+        f"SELECT t.id, t.m1 AS score, {r6('CASE WHEN n.x0 IS NULL THEN (SELECT arg_min(y, x) FROM kn) WHEN n.x1 IS NULL OR t.m1 = n.x0 THEN n.y0 ELSE n.y0 + (t.m1 - n.x0) * (n.y1 - n.y0) / (n.x1 - n.x0) END')} "
+        "AS calibrated FROM testw t ASOF LEFT JOIN nx n ON t.m1 >= n.x0",
+        "pts AS (SELECT x, sum(n) OVER o AS w, sum(s) OVER o AS s FROM (SELECT m1 AS x, count(*) AS n, sum(target) AS s FROM oofw GROUP BY m1) WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),\n"
+        "hull AS (SELECT 0::HUGEINT AS w, 0::HUGEINT AS s, NULL::DOUBLE AS a, NULL::DOUBLE AS x, NULL::DOUBLE AS y UNION ALL "
+        "SELECT w, s, a, x, y FROM (SELECT p.w, p.s, min(p.x) OVER () AS a, p.x, (p.s - h.s)::DOUBLE / (p.w - h.w) AS y, "
+        "row_number() OVER (ORDER BY (p.s - h.s)::DOUBLE / (p.w - h.w), p.w DESC) AS r FROM hull h JOIN pts p ON p.w > h.w) WHERE r = 1),\n"
+        "kn AS (SELECT DISTINCT unnest([a, x]) AS x, y FROM hull WHERE x IS NOT NULL),\n"
+        "nx AS (SELECT x AS x0, y AS y0, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM kn)").removeprefix("WITH")
+
+    # stacking: Newton steps on the 3 x 3 normal equations, solved by determinants
+    det = lambda m: (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]}) "
+                     f"+ {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+    h = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
+    swap = lambda j: [[f"g{i}" if c == j else h[i][c] for c in range(3)] for i in range(3)]
+    steps = ", ".join(f"b{j} + {det(swap(j))} / {det(h)} AS b{j}" for j in range(3))
+    meta = r6("1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))")
+    q["meta_stack"] = "WITH RECURSIVE" + with_base(
+        f"SELECT id, 'oof' AS split, {meta} AS meta FROM zo, (SELECT * FROM it ORDER BY k DESC LIMIT 1) UNION ALL "
+        f"SELECT id, 'test' AS split, {meta} AS meta FROM zt, (SELECT * FROM it ORDER BY k DESC LIMIT 1)",
+        "st AS (SELECT avg(m1) AS a1, stddev_pop(m1) AS s1, avg(m2) AS a2, stddev_pop(m2) AS s2 FROM oofw),\n"
+        "zo AS (SELECT id, target, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM oofw, st),\n"
+        "zt AS (SELECT id, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM testw, st),\n"
+        "it AS (SELECT 0 AS k, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 UNION ALL "
+        f"SELECT k + 1, {steps} FROM (SELECT k, b0, b1, b2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02, sum(w * x1 * x1) + 1 AS h11, "
+        "sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22, sum(target - p) AS g0, sum((target - p) * x1) - b1 AS g1, sum((target - p) * x2) - b2 AS g2 "
+        "FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM it, zo)) GROUP BY k, b0, b1, b2) WHERE k < 20)").removeprefix("WITH")
+
+    # stumps: the purest weighted split of every training split
+    cells = " UNION ALL ".join(f"SELECT fold, target, {i} AS place, {c} AS x FROM folds" for i, c in enumerate(FEATS))
+    pur = lambda a, b: f"((spw * {a}) * (spw * {a}) + {b} * {b}) / (spw * {a} + {b})"
+    score = "CASE s.place " + " ".join(f"WHEN {i} THEN CASE WHEN t.{c} <= s.x THEN s.l ELSE s.r END" for i, c in enumerate(FEATS)) + " END"
+    stump = (f"cells AS ({cells}),\nsp AS (SELECT CAST(count(*) FILTER (WHERE target = 0) AS DOUBLE) / count(*) FILTER (WHERE target = 1) AS spw FROM train),\n"
+             "tfs AS (SELECT unnest([0, 1, 2, 3, 4]) AS tf),\n"
+             "tot AS (SELECT tf, count(*) FILTER (WHERE target = 1) AS tp, count(*) FILTER (WHERE target = 0) AS tn FROM tfs JOIN folds ON fold <> tf GROUP BY tf),\n"
+             "run AS (SELECT tf, place, x, sum(p) OVER o AS lp, sum(n) OVER o AS ln FROM (SELECT tf, place, x, count(*) FILTER (WHERE target = 1) AS p, "
+             "count(*) FILTER (WHERE target = 0) AS n FROM tfs JOIN cells ON fold <> tf WHERE x IS NOT NULL GROUP BY tf, place, x) WINDOW o AS (PARTITION BY tf, place ORDER BY x ROWS UNBOUNDED PRECEDING)),\n"
+             f"cand AS (SELECT *, tp - lp AS rp, tn - ln AS rn FROM run JOIN tot USING (tf), sp WHERE lp + ln < tp + tn),\n"
+             f"best AS (SELECT tf, place, x, spw * lp / (spw * lp + ln) AS l, spw * rp / (spw * rp + rn) AS r FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY {pur('lp', 'ln')} + {pur('rp', 'rn')} DESC, place, x) AS k FROM cand) WHERE k = 1)")
+    q["stump_oof"] = with_base(f"SELECT t.id, t.fold, t.target, {r6(score)} AS score FROM folds t JOIN best s ON s.tf = t.fold", stump)
+    q["stump_test_mean"] = with_base(f"SELECT id, {r6('avg(score)')} AS score FROM (SELECT t.id, {score} AS score FROM test t, best s) GROUP BY id", stump)
+
+    # nested encoding: everything about outer fold o comes from the other folds (and the test rows' values)
+    q["te_nested"] = with_base(
+        "SELECT CAST(b.o AS INTEGER) AS outer_fold, b.id, 'te_' || b.col AS col, " + r6(
+            "CASE WHEN b.bin IS NULL OR t.n IS NULL THEN g.g WHEN b.fold = b.o THEN (t.s + 30 * g.g) / (t.n + 30) ELSE (t.s - f.s + 30 * g.g) / (t.n - f.n + 30) END")
+        + " AS te FROM nb b JOIN ng g USING (o) LEFT JOIN nt t ON b.o = t.o AND b.col = t.col AND b.bin = t.bin "
+        "LEFT JOIN nf f ON b.o = f.o AND b.col = f.col AND b.bin = f.bin AND b.fold = f.fold",
+        f"os AS (SELECT unnest([0, 1, 2, 3, 4]) AS o),\ntrl AS ({_te_long('folds', TE, 'fold, target, ')}),\ntel AS ({_te_long('test', TE)}),\n"
+        "nl AS (SELECT o, col, x FROM os JOIN trl ON fold <> o UNION ALL SELECT o, col, x FROM os, tel),\n"
+        f"nq AS (SELECT o, col, quantile_cont(x, [{', '.join(str(i / 20) for i in range(21))}]) AS q FROM nl WHERE x IS NOT NULL GROUP BY o, col),\n"
+        "ne AS (SELECT o, col, CASE WHEN len(u) < 2 THEN NULL ELSE u[2:len(u) - 1] END AS e FROM (SELECT o, col, list_sort(list_distinct(q)) AS u FROM nq)),\n"
+        "ng AS (SELECT o, avg(target) AS g FROM os JOIN folds ON fold <> o GROUP BY o),\n"
+        "nb AS (SELECT e.o, t.id, t.fold, t.target, t.col, CASE WHEN t.x IS NULL OR e.e IS NULL THEN NULL ELSE len(list_filter(e.e, lambda v: v < t.x)) END AS bin FROM trl t JOIN ne e USING (col)),\n"
+        "nf AS (SELECT o, col, bin, fold, count(*) AS n, sum(target) AS s FROM nb WHERE bin IS NOT NULL AND fold <> o GROUP BY o, col, bin, fold),\n"
+        "nt AS (SELECT o, col, bin, sum(n) AS n, sum(s) AS s FROM nf GROUP BY o, col, bin)")
+
     # oversampling
     med = ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in FEATS)
     imp = ", ".join(f"coalesce(f.{c}, m.{c}) AS {c}" for c in FEATS)
@@ -437,4 +529,13 @@ def oracle_sql() -> dict[str, str]:
         "CAST(greatest(floor(n_neg * 0.1) - n_pos, 0) AS BIGINT) AS n_syn, "
         + r6("(n_pos + greatest(floor(n_neg * 0.1) - n_pos, 0)) / (n_pos + greatest(floor(n_neg * 0.1) - n_pos, 0) + n_neg)")
         + " AS share_after FROM cnt", cnt)
+    draw = lambda j: f"('0x' || substr(md5(concat_ws(':', 42, tf, i, {j})), 1, 13))::BIGINT"
+    q["smote_draws"] = with_base(
+        "SELECT CAST(d.tf AS INTEGER) AS tf, d.i AS syn_id, b.id AS base_id, r.nn_id, " + r6("d.u") + " AS u, "
+        + ", ".join(f"{r6(f'b.{c} + d.u * (n.{c} - b.{c})')} AS {c}" for c in FEATS)
+        + " FROM d JOIN mem b ON b.tf = d.tf AND b.idx = d.idx JOIN ranked r ON r.tf = d.tf AND r.id = b.id AND r.rnk = d.rnk JOIN mino n ON n.id = r.nn_id",
+        knn + ",\n" + cnt + ",\n"
+        "mem AS (SELECT t.tf, m.*, row_number() OVER (PARTITION BY t.tf ORDER BY (m.id * 2654435761 + 42) % 4294967296, m.id) - 1 AS idx FROM tfs t JOIN mino m ON m.fold <> t.tf),\n"
+        f"d AS (SELECT tf, i, {draw(1)} % n_pos AS idx, {draw(2)} % least(5, n_pos - 1) + 1 AS rnk, {draw(3)}::DOUBLE / 4503599627370496.0 AS u FROM "
+        "(SELECT tf, n_pos, unnest(range(0, CAST(greatest(floor(n_neg * 0.1) - n_pos, 0) AS BIGINT))) AS i FROM cnt))")
     return q

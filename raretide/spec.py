@@ -119,3 +119,18 @@ FIXTURE = FeatureSpec(
     dominant_square=True,
     te_cols=_f(1, 2, 4, 5, 6, 11),
 )
+# The earlier published feature sets on the same view.
+FIXTURE_V1 = FeatureSpec(
+    version=1, binary_mean=False, pairwise=False, row_median=False, row_skew=False, row_kurt=False, miss_pattern_sum=False,
+)
+FIXTURE_V2 = FeatureSpec(
+    version=2, miss_cols=_f(3, 4, 5, 6), auto_binary=True, binary_mean=False, pairwise=False,
+    ratios=(("feature_1", "feature_4", False), ("feature_5", "feature_3", False)),
+    row_kurt=False, miss_pattern_sum=False,
+)
+FIXTURE_V3 = FeatureSpec(
+    version=3, miss_cols=FIXTURE.miss_cols, binary_cols=FIXTURE.binary_cols, pairwise=False,
+    ratios=FIXTURE.ratios[:3], products=FIXTURE.products, squares=FIXTURE.squares, logs=FIXTURE.logs[:1],
+    row_median=False, row_skew=False, row_kurt=False, te_cols=_f(1, 2, 4, 5),
+)
+FIXTURE_PRESETS = {1: FIXTURE_V1, 2: FIXTURE_V2, 3: FIXTURE_V3, 4: FIXTURE}
