@@ -35,8 +35,8 @@ def weight_names(n_models: int) -> list[str]:
 
 # Rows of one grid point per value-range bucket on the exact path.
 ROWS_PER_BUCKET = 1_000_000
-# Score bins of the first bounding pass, their growth per pass, and the most.
-FIRST_BINS, BIN_GROWTH, MOST_BINS = 256, 8, 1 << 17
+# Score bins of the first bounding pass, their growth per pass, and the most bytes of a task's counters.
+FIRST_BINS, BIN_GROWTH, COUNTER_BYTES = 256, 8, 128 << 20
 
 
 def point_buckets(wide: DataFrame) -> int:
@@ -146,23 +146,33 @@ def metric_bounds(wide: DataFrame, models: list[str], points: list[tuple[int, ..
 
 
 def surviving_points(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target",
-                     first_bins: int = FIRST_BINS) -> list[tuple[int, ...]]:
-    """Every grid point that the bounds do not rule out as the best."""
+                     first_bins: int = FIRST_BINS, ends: list[tuple[float, float]] | None = None) -> list[tuple[int, ...]]:
+    """Every grid point that the bounds do not rule out as the best.
+
+    Bins grow while that rules points out and the counters (two per point and bin) stay
+    within ``COUNTER_BYTES`` a task; ``ends`` are the models' least and greatest scores.
+    """
     points, bins = grid_points(len(models), steps), first_bins
-    ends = wide.agg(*[f(m) for m in models for f in (F.min, F.max)]).first()
-    if ends[0] is None:
+    ends = score_ends(wide, models)[1] if ends is None else ends
+    if not ends:
         return points[:1]
-    pairs = [(float(ends[2 * i]), float(ends[2 * i + 1])) for i in range(len(models))]
-    while len(points) > 1 and bins <= MOST_BINS:
-        bounds = metric_bounds(wide, models, points, bins, pairs, metric, label)
+    while len(points) > 1:
+        bounds = metric_bounds(wide, models, points, bins, ends, metric, label)
         best = max(low for low, _ in bounds)
         left = [p for p, (_, high) in zip(points, bounds) if high >= best - 1e-9]
-        if len(left) == len(points):
-            break
-        points, bins = left, bins * BIN_GROWTH
+        wider = min(bins * BIN_GROWTH, COUNTER_BYTES // (16 * len(left)))
+        if len(left) == len(points) or wider <= bins:
+            return left
+        points, bins = left, wider
     return points
 
 
+def score_ends(wide: DataFrame, models: list[str]) -> tuple[int, list[tuple[float, float]]]:
+    """(rows, least and greatest score of every model; none without rows), in one pass."""
+    row = wide.agg(F.count("*"), *[f(m) for m in models for f in (F.min, F.max)]).first()
+    return row[0], [] if row[1] is None else [(float(row[1 + 2 * i]), float(row[2 + 2 * i])) for i in range(len(models))]
+
+
 def best_weights(grid: DataFrame, n_models: int) -> DataFrame:
     names = weight_names(n_models)
     return grid.orderBy(F.round("metric", 12).desc(), *[F.col(n).asc() for n in names]).limit(1)
@@ -171,12 +181,13 @@ def best_weights(grid: DataFrame, n_models: int) -> DataFrame:
 def search(wide: DataFrame, models: list[str], steps: int, metric: str = "ap", label: str = "target") -> DataFrame:
     """The best grid point, ``w1..wm, metric``: bounds first, then exact scores of the survivors."""
     names = weight_names(len(models))
-    left = surviving_points(wide, models, steps, metric, label)
+    n, ends = score_ends(wide, models)
+    left = surviving_points(wide, models, steps, metric, label, ends=ends)
     points = F.array(*[F.struct(*[F.lit(int(w)).alias(n) for n, w in zip(names, p)]) for p in left])
     rows = wide.select(label, *models, F.explode(points).alias("__w")).select(label, *models, "__w.*")
     fn = average_precision if metric == "ap" else roc_auc
     exact = fn(rows.select(*names, label, blended(models, names).alias("blend")), names, "blend", label,
-               n_buckets=point_buckets(wide), alias="metric")
+               n_buckets=max(1, -(-n // ROWS_PER_BUCKET)), alias="metric")
     return best_weights(exact, len(models))
 
 

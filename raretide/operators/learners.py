@@ -127,29 +127,35 @@ def prefix_model(model: GBTClassificationModel, n: int) -> GBTClassificationMode
 def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m: Member, k: int, spw: float,
               synthetic: DataFrame | None = None, seed: int = 42, label: str = "target", fold_col: str = "fold",
               early_stop: bool = False, extra_train: DataFrame | None = None,
-              parallelism: int | None = None) -> CVResult:
+              parallelism: int | None = None, per_fold: dict[str, str] | None = None) -> CVResult:
     """Out-of-fold scores of ``m`` over ``k`` folds (optionally with SMOTE rows and extra rows).
 
     The ``k`` fits are independent Spark jobs; they are submitted from
     ``parallelism`` driver threads (default ``k``, like ``CrossValidator``'s
     ``parallelism``) so the small per-iteration stages of one fit interleave
-    with the others' instead of leaving executors idle.
+    with the others' instead of leaving executors idle.  ``per_fold`` names features
+    that differ by validation fold: of ``{"te_x": "te_x__o{}"}`` the model of fold 2
+    takes the column ``te_x__o2``.
     """
     va = assembler(features)
-    base = with_weight(train.select("id", fold_col, label, *features), spw, label)
-    tst = va.transform(test.select("id", *features)) if test is not None else None
     iters = {}
 
+    def taken(f: int) -> list:
+        return [F.col((per_fold or {}).get(c, c).format(f)).alias(c) for c in features]
+
+    def side(df: DataFrame, f: int) -> DataFrame:
+        return with_weight(df.select("id", fold_col, label, *taken(f)), spw, label)
+
     def fit_fold(f: int):
-        fit_rows = base.filter(F.col(fold_col) != f).select("id", label, *features)
+        fit_rows = side(train.filter(F.col(fold_col) != f), f).select("id", label, *features)
         if synthetic is not None:
             fit_rows = fit_rows.unionByName(
                 synthetic.filter(F.col("tf") == f).select((-(F.col("syn_id") + 1)).alias("id"),
-                                                          F.lit(1).alias(label), *features))
+                                                          F.lit(1).alias(label), *taken(f)))
         if extra_train is not None:
-            fit_rows = fit_rows.unionByName(extra_train.select("id", F.col(label).cast("int").alias(label), *features))
+            fit_rows = fit_rows.unionByName(extra_train.select("id", F.col(label).cast("int").alias(label), *taken(f)))
         fit_rows = va.transform(with_weight(fit_rows, spw, label))
-        val = va.transform(base.filter(F.col(fold_col) == f))
+        val = va.transform(side(train.filter(F.col(fold_col) == f), f))
         model = m.estimator(seed).fit(fit_rows)
         if early_stop and isinstance(model, GBTClassificationModel):
             iters[f] = best_iteration(model, val)
@@ -163,8 +169,8 @@ def cross_val(train: DataFrame, test: DataFrame | None, features: list[str], m:
         oofs.append(positive_score(model.transform(val)).select(
             "id", F.col(fold_col).cast("int").alias("fold"), F.col(label).cast("int").alias("target"),
             F.lit(m.name).alias("model"), "score"))
-        if tst is not None:
-            tests.append(positive_score(model.transform(tst)).select(
+        if test is not None:
+            tests.append(positive_score(model.transform(va.transform(test.select("id", *taken(f))))).select(
                 "id", F.lit(f).alias("fold"), F.lit(m.name).alias("model"), "score"))
     oof = _union(oofs)
     fold_test = _union(tests) if tests else None

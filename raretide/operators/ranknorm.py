@@ -74,3 +74,21 @@ def interpolate(knots: DataFrame, probes: DataFrame, keys: list[str], score: str
             .otherwise(r0 + (x - s0) * (r1 - r0) / (s1 - s0)))
     mapped = nb.select(*keys, score, val.alias(out))
     return probes.join(mapped, keys + [score], "left")
+
+
+def ordinal_knots(scored: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
+    """``(keys, score, first, last)``: the ordinal ranks over n + 1 that the rows of each distinct score span."""
+    counts = scored.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.count(F.lit(1)).alias("c"))
+    run = prefix_sums(counts, keys, [score], ["c"])
+    over = F.col("tot_c") + 1
+    return run.select(*keys, score, ((F.col("cum_c") - F.col("c") + 1) / over).alias("first"), (F.col("cum_c") / over).alias("last"))
+
+
+def interpolate_ordinal(knots: DataFrame, probes: DataFrame, keys: list[str], score: str = "score", out: str = "rank_norm") -> DataFrame:
+    """``np.interp`` over every row's (score, ordinal rank): a tied score maps to its last rank, gaps run from last to first."""
+    distinct = probes.where(F.col(score).isNotNull()).select(*keys, score).distinct()
+    nb = asof_neighbours(knots, distinct, keys, score, ["first", "last"])
+    x, s0, s1 = F.col(score), F.col(f"lo_{score}"), F.col(f"hi_{score}")
+    value = (F.when(s0.isNull(), F.col("hi_first")).when(s1.isNull() | (x == s0), F.col("lo_last"))
+             .otherwise(F.col("lo_last") + (x - s0) * (F.col("hi_first") - F.col("lo_last")) / (s1 - s0)))
+    return probes.join(nb.select(*keys, score, value.alias(out)), keys + [score], "left")

@@ -22,6 +22,8 @@ from raretide.spec import FIXTURE, FIXTURE_PRESETS, FeatureSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 TE_COLS = list(FIXTURE.te_cols)
+#: Trials of the registered parameter search.
+SEARCH_TRIALS = 9
 
 
 def _round_doubles(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -458,6 +460,9 @@ SQL_QUERIES: dict[str, Query] = {
     "stump_test_mean": q_stump_test_mean,
     "meta_stack": q_meta_stack,
     "isotonic": q_isotonic,
+    "tail_meta": lambda spark, sf: q_tail_meta(spark, sf),
+    "tail_isotonic": lambda spark, sf: q_tail_isotonic(spark, sf),
+    "tail_ordinal": lambda spark, sf: q_tail_ordinal(spark, sf),
     "stage_resume": lambda spark, sf: q_stage_resume(spark, sf),
     "final_select": lambda spark, sf: q_final_select(spark, sf),
     "submission": lambda spark, sf: q_submission(spark, sf),
@@ -470,11 +475,14 @@ def _plan(spark, sf):
     return pipeline, cfg, tr, ts, feats, spw, key
 
 
-def _gbt_cv(spark, sf, name="lgb", max_iter=10):
+def _member_cv(spark, sf, name, max_iter=None):
+    """Scores and metrics of one member as the plan fits it: SMOTE rows, best prefix, the plan's number of trees."""
     from raretide.operators import learners
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
     syn = pl.smote_stage(spark, tr, feats, cfg, key)
-    return pl.member_stage(spark, tr, ts, feats, learners.member(name, max_iter), cfg, spw, syn, key)
+    m = learners.member(name, max_iter or pl.TREES)
+    scores = pl.member_stage(spark, tr, ts, feats, m, cfg, spw, syn, key)
+    return *scores, m, pl.member_metrics(spark, m, cfg, syn, key)
 
 
 def q_smote_sample(spark, sf):
@@ -484,64 +492,63 @@ def q_smote_sample(spark, sf):
 
 
 def q_gbt_oof(spark, sf):
-    return _gbt_cv(spark, sf)[0]
+    return _member_cv(spark, sf, "lgb")[0]
 
 
 def q_test_fold_mean(spark, sf):
-    return _gbt_cv(spark, sf)[1]
+    return _member_cv(spark, sf, "lgb")[1]
 
 
 def q_rf_oof(spark, sf):
-    return _gbt_cv(spark, sf, "rf", 20)[0]
+    from raretide.plans import pipeline
+    return _member_cv(spark, sf, "rf", pipeline.FOREST_TREES)[0]
 
 
 def q_gbt_presets(spark, sf):
-    from raretide.operators import learners
-    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
-    parts = []
+    """AP and AUC per fold of the three histogram presets, from their commit records."""
+    rows = []
     for name in ("hgb_a", "hgb_b", "hgb_c"):
-        parts.append(pl.member_stage(spark, tr, ts, feats, learners.member(name, 8), cfg, spw, None, key)[0])
-    oof = learners._union(parts)
-    return learners.fold_metrics(oof)
+        got = _member_cv(spark, sf, name)[3]
+        rows += [(name, f, got["ap", f], got["auc", f]) for f in range(K_FOLDS)]
+    return spark.createDataFrame(rows, "model string, fold int, ap double, auc double")
 
 
 def q_best_iteration(spark, sf):
-    from raretide.operators import learners
-    pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
-    m = learners.member("lgb", 12)
-    va = learners.assembler(feats)
-    rows = []
-    base = learners.with_weight(tr, spw)
-    for f in range(cfg.k_folds):
-        model = m.estimator().fit(va.transform(base.filter(F.col("fold") != f)))
-        rows.append((f, learners.best_iteration(model, va.transform(base.filter(F.col("fold") == f))), m.max_iter))
-    return spark.createDataFrame(rows, "fold int, best_iter int, max_iter int")
+    _, _, m, got = _member_cv(spark, sf, "lgb")
+    return spark.createDataFrame([(f, int(got["best_iteration", f]), m.max_iter) for f in range(K_FOLDS)], "fold int, best_iter int, max_iter int")
 
 
 def q_random_search(spark, sf):
+    """Every evaluation of the plan's parameter search (inner folds with their own synthetic rows)."""
     from raretide.operators import learners
+    from raretide.sources.stages import fingerprint, stage
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
-    folded = folds.stratified_folds(tr.drop("fold"), 3, 42, fold_col="fold")
-    return learners.random_search(folded, feats, learners.member("lgb", 5), 3, spw, n_trials=3, parallelism=3)
+    cfg.search_trials = SEARCH_TRIALS
+    m = learners.member("lgb", pl.TREES)
+    pl.search_stage(spark, tr, feats, m, cfg, spw, key)
+    return stage(spark, "search", fingerprint(key, m.name, m.params, m.max_iter, cfg.search_trials, cfg.search_folds, cfg.smote_ratio, cfg.k_nn), lambda: None)
+
+
+def _tail(spark, sf, models, tail, steps):
+    from raretide.plans import pipeline
+    done = pipeline.finish(oof_wide(spark, sf), test_wide(spark, sf), models, tail, steps)
+    return done.final.select("id", "score", F.lit(done.method).alias("method"))
 
 
 def _standin_final(spark, sf):
-    models = ["m1", "m2", "m3"]
-    ow, tw = oof_wide(spark, sf), test_wide(spark, sf)
-    best = blend.search(ow, models, 20, "ap").first()
-    w = [best[n] / 20.0 for n in blend.weight_names(3)]
-    ob = blend.apply_weights(ow, models, w, "score").withColumn("__k", F.lit(0))
-    tb = blend.apply_weights(tw, models, w, "score").withColumn("__k", F.lit(0))
-    blend_ap = metrics.average_precision(ob, []).first()["ap"]
-    on = ranknorm.average_rank(ob, ["__k"], out="norm")
-    norm_ap = metrics.average_precision(on.select("target", F.col("norm").alias("score")), []).first()["ap"]
-    if norm_ap >= blend_ap:
-        knots = ranknorm.rank_knots(ob, ["__k"])
-        final = ranknorm.interpolate(knots, tb.select("id", "score", "__k"), ["__k"], out="final") \
-            .select("id", F.col("final").alias("score"), F.lit("rank_norm").alias("method"))
-    else:
-        final = tb.select("id", "score", F.lit("blend").alias("method"))
-    return final
+    return _tail(spark, sf, ["m1", "m2", "m3"], "rank", 20)
+
+
+def q_tail_meta(spark, sf):
+    return _round_doubles(_tail(spark, sf, ["m1", "m2"], "meta", 100))
+
+
+def q_tail_isotonic(spark, sf):
+    return _round_doubles(_tail(spark, sf, ["m1", "m2"], "isotonic", 200))
+
+
+def q_tail_ordinal(spark, sf):
+    return _round_doubles(_tail(spark, sf, ["m1", "m2", "m3"], "ordinal", 20))
 
 
 def q_final_select(spark, sf):
@@ -576,32 +583,25 @@ def q_stage_resume(spark, sf):
 
 
 def q_pseudo_refit(spark, sf):
-    from raretide.operators import learners, pseudo
+    from raretide.operators import pseudo
+    base_oof, _, m, got = _member_cv(spark, sf, "lgb")
     pl, cfg, tr, ts, feats, spw, key = _plan(spark, sf)
-    m = learners.member("lgb", 6)
-    base_oof, _ = pl.member_stage(spark, tr, ts, feats, m, cfg, spw, None, key)
     # The stand-in scores of m2 open the gate at every scale factor; the fits are real.
     sure = test_wide(spark, sf).select("id", F.col("m2").alias("score"))
     gate = pseudo.gate(sure).first()
-    base_ap = metrics.average_precision(base_oof, []).first()["ap"]
+    base_ap, schema = got["ap", None], "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean"
     if not gate["use_pseudo"]:
-        return spark.createDataFrame([(m.name, int(gate["n_pseudo"]), float(base_ap), None, False)],
-                                     "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean")
+        return spark.createDataFrame([(m.name, int(gate["n_pseudo"]), float(base_ap), None, False)], schema)
     rows = pseudo.select_pseudo(sure).join(ts, "id").withColumnRenamed("pseudo_label", "target")
-    cv = learners.cross_val(tr, ts, feats, m, cfg.k_folds, spw, None, extra_train=rows)
-    refit_ap = metrics.average_precision(cv.oof, []).first()["ap"]
-    return spark.createDataFrame(
-        [(m.name, int(gate["n_pseudo"]), float(base_ap), float(refit_ap), pseudo.keep_refit(base_ap, refit_ap))],
-        "model string, n_pseudo long, base_ap double, refit_ap double, kept boolean")
+    syn = pl.smote_stage(spark, tr, feats, cfg, key, rows)
+    refit_ap = metrics.average_precision(pl.member_cv(tr, ts, feats, m, cfg, spw, syn, rows).oof, []).first()["ap"]
+    return spark.createDataFrame([(m.name, int(gate["n_pseudo"]), float(base_ap), float(refit_ap), pseudo.keep_refit(base_ap, refit_ap))], schema)
 
 
 def q_score_plan(spark, sf):
     """The whole checkpoint-edition plan on the fixture (3 members, SMOTE, blend, rank norm)."""
-    from raretide.operators import learners
     from raretide.plans import pipeline
-    cfg = pipeline.PlanConfig(members=[learners.member("lgb", 10), learners.member("xgb", 10),
-                                       learners.member("rf", 20)])
-    return pipeline.run(spark, sf, cfg).final
+    return pipeline.run(spark, sf).final
 
 
 ROWS_QUERIES: dict[str, Query] = {

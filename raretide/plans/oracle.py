@@ -291,6 +291,42 @@ def _blend_grid(models: list[str], steps: int, metric: str) -> str:
     return with_base(body, f"{grid},\n{src},\n{mcte}")
 
 
+def _hull(src: str) -> str:
+    """CTEs of the isotonic fit on ``src(x, target)``: from each corner of the lower hull of the cumulative sums to the
+    corner of the least slope; ``nx`` has the fitted function's pieces."""
+    return (f"pts AS (SELECT x, sum(n) OVER o AS w, sum(s) OVER o AS s FROM (SELECT x, count(*) AS n, sum(target) AS s FROM {src} GROUP BY x) WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),\n"
+            "hull AS (SELECT 0::HUGEINT AS w, 0::HUGEINT AS s, NULL::DOUBLE AS a, NULL::DOUBLE AS x, NULL::DOUBLE AS y UNION ALL "
+            "SELECT w, s, a, x, y FROM (SELECT p.w, p.s, min(p.x) OVER () AS a, p.x, (p.s - h.s)::DOUBLE / (p.w - h.w) AS y, "
+            "row_number() OVER (ORDER BY (p.s - h.s)::DOUBLE / (p.w - h.w), p.w DESC) AS r FROM hull h JOIN pts p ON p.w > h.w) WHERE r = 1),\n"
+            "kn AS (SELECT DISTINCT unnest([a, x]) AS x, y FROM hull WHERE x IS NOT NULL),\n"
+            "nx AS (SELECT x AS x0, y AS y0, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM kn)")
+
+
+def _between(x: str) -> str:
+    return (f"CASE WHEN n.x0 IS NULL THEN (SELECT arg_min(y, x) FROM kn) WHEN n.x1 IS NULL OR {x} = n.x0 THEN n.y0 "
+            f"ELSE n.y0 + ({x} - n.x0) * (n.y1 - n.y0) / (n.x1 - n.x0) END")
+
+
+_META = "1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))"
+
+
+def _newton() -> str:
+    """CTEs of the stacked regression of m1 and m2: Newton steps on the 3 x 3 normal equations, solved by determinants."""
+    det = lambda m: (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]}) "
+                     f"+ {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+    h = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
+    swap = lambda j: [[f"g{i}" if c == j else h[i][c] for c in range(3)] for i in range(3)]
+    steps = ", ".join(f"b{j} + {det(swap(j))} / {det(h)} AS b{j}" for j in range(3))
+    return ("st AS (SELECT avg(m1) AS a1, stddev_pop(m1) AS s1, avg(m2) AS a2, stddev_pop(m2) AS s2 FROM oofw),\n"
+            "zo AS (SELECT id, target, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM oofw, st),\n"
+            "zt AS (SELECT id, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM testw, st),\n"
+            "it AS (SELECT 0 AS k, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 UNION ALL "
+            f"SELECT k + 1, {steps} FROM (SELECT k, b0, b1, b2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02, sum(w * x1 * x1) + 1 AS h11, "
+            "sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22, sum(target - p) AS g0, sum((target - p) * x1) - b1 AS g1, sum((target - p) * x2) - b2 AS g2 "
+            "FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM it, zo)) GROUP BY k, b0, b1, b2) WHERE k < 20),\n"
+            "lastit AS (SELECT b0, b1, b2 FROM it ORDER BY k DESC LIMIT 1)")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_entities"] = f"WITH {ENTITY} SELECT * FROM entity_features"
@@ -450,34 +486,35 @@ def oracle_sql() -> dict[str, str]:
     q["stage_resume"] = (f"WITH {ENTITY}, c AS (SELECT count(*) AS n FROM entity_features)\nSELECT step, step = 3 AS fingerprint_changed, "
                          "step <> 2 AS rebuilt, n AS n_rows FROM c, (SELECT unnest([1, 2, 3])::INTEGER AS step)")
 
-    # isotonic fit: from each corner of the lower hull of the cumulative sums to the corner of the least slope
     q["isotonic"] = "WITH RECURSIVE" + with_base(
-        f"SELECT t.id, t.m1 AS score, {r6('CASE WHEN n.x0 IS NULL THEN (SELECT arg_min(y, x) FROM kn) WHEN n.x1 IS NULL OR t.m1 = n.x0 THEN n.y0 ELSE n.y0 + (t.m1 - n.x0) * (n.y1 - n.y0) / (n.x1 - n.x0) END')} "
-        "AS calibrated FROM testw t ASOF LEFT JOIN nx n ON t.m1 >= n.x0",
-        "pts AS (SELECT x, sum(n) OVER o AS w, sum(s) OVER o AS s FROM (SELECT m1 AS x, count(*) AS n, sum(target) AS s FROM oofw GROUP BY m1) WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),\n"
-        "hull AS (SELECT 0::HUGEINT AS w, 0::HUGEINT AS s, NULL::DOUBLE AS a, NULL::DOUBLE AS x, NULL::DOUBLE AS y UNION ALL "
-        "SELECT w, s, a, x, y FROM (SELECT p.w, p.s, min(p.x) OVER () AS a, p.x, (p.s - h.s)::DOUBLE / (p.w - h.w) AS y, "
-        "row_number() OVER (ORDER BY (p.s - h.s)::DOUBLE / (p.w - h.w), p.w DESC) AS r FROM hull h JOIN pts p ON p.w > h.w) WHERE r = 1),\n"
-        "kn AS (SELECT DISTINCT unnest([a, x]) AS x, y FROM hull WHERE x IS NOT NULL),\n"
-        "nx AS (SELECT x AS x0, y AS y0, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM kn)").removeprefix("WITH")
-
-    # stacking: Newton steps on the 3 x 3 normal equations, solved by determinants
-    det = lambda m: (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]}) "
-                     f"+ {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
-    h = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
-    swap = lambda j: [[f"g{i}" if c == j else h[i][c] for c in range(3)] for i in range(3)]
-    steps = ", ".join(f"b{j} + {det(swap(j))} / {det(h)} AS b{j}" for j in range(3))
-    meta = r6("1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))")
+        f"SELECT t.id, t.m1 AS score, {r6(_between('t.m1'))} AS calibrated FROM testw t ASOF LEFT JOIN nx n ON t.m1 >= n.x0",
+        _hull("(SELECT m1 AS x, target FROM oofw)")).removeprefix("WITH")
+    meta = r6(_META)
     q["meta_stack"] = "WITH RECURSIVE" + with_base(
-        f"SELECT id, 'oof' AS split, {meta} AS meta FROM zo, (SELECT * FROM it ORDER BY k DESC LIMIT 1) UNION ALL "
-        f"SELECT id, 'test' AS split, {meta} AS meta FROM zt, (SELECT * FROM it ORDER BY k DESC LIMIT 1)",
-        "st AS (SELECT avg(m1) AS a1, stddev_pop(m1) AS s1, avg(m2) AS a2, stddev_pop(m2) AS s2 FROM oofw),\n"
-        "zo AS (SELECT id, target, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM oofw, st),\n"
-        "zt AS (SELECT id, (m1 - a1) / s1 AS x1, (m2 - a2) / s2 AS x2 FROM testw, st),\n"
-        "it AS (SELECT 0 AS k, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 UNION ALL "
-        f"SELECT k + 1, {steps} FROM (SELECT k, b0, b1, b2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02, sum(w * x1 * x1) + 1 AS h11, "
-        "sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22, sum(target - p) AS g0, sum((target - p) * x1) - b1 AS g1, sum((target - p) * x2) - b2 AS g2 "
-        "FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM it, zo)) GROUP BY k, b0, b1, b2) WHERE k < 20)").removeprefix("WITH")
+        f"SELECT id, 'oof' AS split, {meta} AS meta FROM zo, lastit UNION ALL SELECT id, 'test' AS split, {meta} AS meta FROM zt, lastit",
+        _newton()).removeprefix("WITH")
+
+    # the earlier editions' tails on stand-in scores
+    def best(models: list[str], steps: int, metric: str) -> str:
+        names = ", ".join(f"w{j + 1}" for j in range(len(models)))
+        grid = _blend_grid(models, steps, metric).replace(f"\nSELECT {names},", f",\nbest AS (SELECT {names},", 1)
+        total = " + ".join(f"(w{j + 1} / {float(steps)}) * {m}" for j, m in enumerate(models))
+        return ("WITH RECURSIVE" + grid.removeprefix("WITH") + f"),\nob AS (SELECT id, target, {total} AS score FROM oofw, best WHERE is_best),"
+                f"\ntb AS (SELECT id, {total} AS score FROM testw, best WHERE is_best)")
+
+    q["tail_meta"] = (best(["m1", "m2"], 100, "auc") + ",\n" + _newton() + f",\nmo AS (SELECT target, {_META} AS score FROM zo, lastit),\n"
+                      + auc_cte("ma1", "mo", []) + ",\n" + auc_cte("ba1", "ob", []) + f",\npick AS (SELECT (SELECT auc FROM ma1) >= (SELECT auc FROM ba1) AS meta)"
+                      f"\nSELECT tb.id, CASE WHEN meta THEN {r6(_META)} ELSE {r6('tb.score')} END AS score, CASE WHEN meta THEN 'meta' ELSE 'blend' END AS method "
+                      "FROM tb JOIN zt ON tb.id = zt.id, lastit, pick")
+    q["tail_isotonic"] = (best(["m1", "m2"], 200, "auc") + ",\n" + _hull("(SELECT score AS x, target FROM ob)")
+                          + f"\nSELECT t.id, {r6(_between('t.score'))} AS score, 'isotonic' AS method FROM tb t ASOF LEFT JOIN nx n ON t.score >= n.x0")
+    q["tail_ordinal"] = (best(["m1", "m2", "m3"], 20, "ap") + ",\norr AS (SELECT id, target, ob.score AS raw, CAST(row_number() OVER (ORDER BY ob.score, id) AS DOUBLE) / (count(*) OVER () + 1) AS score FROM ob),\n"
+                         + ap_cte("oa", "orr", []) + ",\n" + ap_cte("ra", "ob", []) + ",\npick AS (SELECT (SELECT ap FROM oa) >= (SELECT ap FROM ra) AS norm),\n"
+                         "kn AS (SELECT raw AS x, min(score) AS f, max(score) AS l FROM orr GROUP BY raw),\n"
+                         "nx AS (SELECT x AS x0, l AS l0, lead(x) OVER (ORDER BY x) AS x1, lead(f) OVER (ORDER BY x) AS f1 FROM kn)\n"
+                         "SELECT t.id, CASE WHEN norm THEN " + r6("CASE WHEN n.x0 IS NULL THEN (SELECT arg_min(f, x) FROM kn) WHEN n.x1 IS NULL OR t.score = n.x0 THEN n.l0 "
+                         "ELSE n.l0 + (t.score - n.x0) * (n.f1 - n.l0) / (n.x1 - n.x0) END") + " ELSE " + r6("t.score")
+                         + " END AS score, CASE WHEN norm THEN 'rank_norm' ELSE 'blend' END AS method FROM tb t ASOF LEFT JOIN nx n ON t.score >= n.x0, pick")
 
     # stumps: the purest weighted split of every training split
     cells = " UNION ALL ".join(f"SELECT fold, target, {i} AS place, {c} AS x FROM folds" for i, c in enumerate(FEATS))
