@@ -31,34 +31,22 @@ from raretide.llm.common import table
 
 #: Known sentences in normal form, by identifier.
 SENTENCES = {
-    "released under the mit license": "mitRef",
-    "licensed under the mit license": "mitRef",
-    "this project is licensed under the mit license": "mitRef",
     "the mit license mit": "mitTitle",
     "mit license": "mitTitle",
     "the mit license": "mitTitle",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mitGrant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mitNotice",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mitAsIs",
-    "licensed under the apache license version 2 0": "apacheRef",
-    "licensed under the apache license version 2 0 the license": "apacheRef",
-    "this project is licensed under the apache license version 2 0": "apacheRef",
     "apache license": "apacheTitle",
     "version 2 0 january 2004": "apacheVersion",
     "you may not use this file except in compliance with the license": "apacheComply",
     "you may obtain a copy of the license at": "apacheCopy",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apacheAsIs",
     "see the license for the specific language governing permissions and limitations under the license": "apacheSee",
-    "this work is licensed under the gnu general public license version 3": "gpl3Ref",
-    "licensed under the gnu general public license version 3": "gpl3Ref",
-    "this work is licensed under the gnu general public license version 2": "gpl2Ref",
-    "licensed under the gnu general public license version 2": "gpl2Ref",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3Later",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2Later",
     "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gplNoWarranty",
     "see the gnu general public license for more details": "gplSee",
-    "licensed under the gnu lesser general public license version 3": "lgpl3Ref",
-    "licensed under the gnu affero general public license version 3": "agpl3Ref",
     "licensed under cc by nc 4 0": "ccByNc4Ref",
     "licensed under cc by 4 0": "ccBy4Ref",
     "licensed under cc by sa 4 0": "ccBySa4Ref",
@@ -69,13 +57,26 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsdSource",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsdBinary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsdEndorse",
-    "licensed under the bsd 3 clause license": "bsd3Ref",
-    "licensed under the bsd 2 clause license": "bsd2Ref",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl2Ref",
-    "licensed under the mozilla public license version 2 0": "mpl2Ref",
     "this is free and unencumbered software released into the public domain": "unlicenseRef",
     "all rights reserved": "allRights",
 }
+#: Licences that a sentence "(this work is) licensed under (the terms of) the ..." may name, in normal form.
+NAMED = {
+    "mit license": "mitRef",
+    "apache license version 2 0": "apacheRef",
+    "apache license version 2 0 the license": "apacheRef",
+    "apache license 2 0": "apacheRef",
+    "gnu general public license version 3": "gpl3Ref",
+    "gnu general public license version 2": "gpl2Ref",
+    "gnu lesser general public license version 3": "lgpl3Ref",
+    "gnu affero general public license version 3": "agpl3Ref",
+    "bsd 3 clause license": "bsd3Ref",
+    "bsd 2 clause license": "bsd2Ref",
+    "mozilla public license version 2 0": "mpl2Ref",
+}
+#: What stands before the name (words are joined by the separator that the reader of the pattern puts in).
+GRANTED = r"(?:this (?:project|work|software|code|library|program|file) is )?(?:licensed|released|distributed) under (?:the terms of )?the "
 #: Known sentences with a variable part: (regular expression on the normal form, identifier).
 PATTERNS = [
     (r"^spdx license identifier [a-z0-9 ]+$", "spdx"),
@@ -136,21 +137,31 @@ NORMAL = [
 def _known() -> str:
     """The expression that finds known sentences (its first group) in the normal form, longer ones first."""
     fixed = [k.replace(" ", "[ |:]") for k in sorted(SENTENCES, key=len, reverse=True)]
-    return r"(?:(?<=[|#])|\G:)(" + "|".join([*fixed, r"spdx license identifier[ :][a-z0-9 ]+", r"copyright (?:c )?(?:[0-9]{4} )+[^|#]*"]) + ")(?=[|#:])"
+    granted = (GRANTED + "(?:" + "|".join(sorted(NAMED, key=len, reverse=True)) + ")").replace(" ", "[ |:]")
+    declared = "licen[sc]e:(?:" + "|".join(sorted(_spdx(), key=len, reverse=True)) + ")"
+    every = [granted, *fixed, r"spdx license identifier[ :][a-z0-9 ]+", declared, r"copyright (?:c )?(?:[0-9]{4} )+[^|#]*"]
+    return r"(?:(?<=[|#])|\G:)(" + "|".join(every) + ")(?=[|#:])"
+
+
+def _spdx() -> dict[str, str]:
+    """The SPDX id by its normal form."""
+    keys = {i.lower().replace("-", " ").replace(".", " "): i for i in SPDX}
+    return keys | {f"{k} only": i for k, i in keys.items() if "GPL" in i and not k.endswith("later")}
 
 
 def known_sentences(text: Column) -> Column:
     """Identifiers of the known sentences of ``text``, in order (null for texts without a keyword)."""
-    ids = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    ids = F.create_map(*[F.lit(x) for pair in [*SENTENCES.items(), *((f"granted {k}", v) for k, v in NAMED.items())] for x in pair])
     normal = F.concat(F.lit("\n"), F.lower(text), F.lit("\n"))
     for pattern, mark in NORMAL:
         normal = F.regexp_replace(normal, pattern, mark)
     found = F.regexp_extract_all(normal, F.lit(_known()), F.lit(1))
 
     def identify(sentence: Column) -> Column:
-        named = F.regexp_replace(sentence, "^spdx license identifier[ :]", "")
+        named = F.regexp_replace(sentence, "^(?:spdx license identifier[ :]|licen[sc]e:)", "")
         tags = F.transform(F.split(named, " (?:or(?! later\\b)|and|with) "), lambda x: F.concat(F.lit("spdx:"), x))
-        other = F.array(F.coalesce(F.try_element_at(ids, F.translate(sentence, "|:", "  ")), F.lit("copyright")))
+        plain = F.regexp_replace(F.translate(sentence, "|:", "  "), "^" + GRANTED, "granted ")
+        other = F.array(F.coalesce(F.try_element_at(ids, plain), F.lit("copyright")))
         return F.when(named != sentence, tags).otherwise(other)
 
     return F.when(F.lower(text).rlike("|".join(KEYWORDS)), F.flatten(F.transform(found, identify)))
@@ -158,27 +169,34 @@ def known_sentences(text: Column) -> Column:
 
 def tagged(name: Column) -> Column:
     """The licence that the identifier of an SPDX tag names (null for other identifiers and unknown ids)."""
-    keys = [(i, i.lower().replace("-", " ").replace(".", " ")) for i in SPDX]
-    keys += [(i, f"{k} only") for i, k in keys if "GPL" in i and not k.endswith("later")]
-    return F.try_element_at(F.create_map(*[F.lit(x) for i, k in keys for x in (f"spdx:{k}", i)]), name)
+    return F.try_element_at(F.create_map(*[F.lit(x) for k, i in _spdx().items() for x in (f"spdx:{k}", i)]), name)
 
 
 def match_rules(ids: Column) -> Column:
-    """``struct(rest, found)``: identifiers that no rule took, and the licences in rule order."""
-    # The sequence is one string "|a|b|c|"; a rule takes its identifiers out of it.
-    state = F.struct(F.concat(F.lit("|"), F.array_join(ids, "||"), F.lit("|")).alias("rest"), F.array().cast("array<string>").alias("found"))
-    rules = F.array(*[
-        F.struct(
-            F.lit("(?s)" + "".join(f"(.*?)\\|{i}\\|" for i in seq)).alias("pattern"),
-            F.lit("".join(f"${k + 1}" for k in range(len(seq)))).alias("left"),
-            F.lit(name).alias("name"),
-        ) for name, seq in RULES])
+    """``struct(rest, found)``: identifiers that no rule took, and the licences in rule order.
+
+    A rule walks the sequence once: each of its identifiers is looked for behind the one
+    before it, so the work is linear in the sentences.  A sequence in which the
+    earliest places do not do has no other that does.
+    """
+    state = F.struct(ids.alias("rest"), F.array().cast("array<string>").alias("found"))
+    rules = F.array(*[F.struct(F.lit(seq).alias("seq"), F.lit(name).alias("name")) for name, seq in RULES])
+
+    def walk(rest: Column, seq: Column) -> Column:
+        """Places (from 1) that the rule takes; a 0 ends them where an identifier is missing."""
+        def next_place(places: Column, name: Column) -> Column:
+            last = F.when(F.size(places) == 0, F.lit(0)).otherwise(F.element_at(places, -1))
+            behind = F.array_position(F.slice(rest, last + 1, F.greatest(F.size(rest) - last, F.lit(0))), name).cast("int")
+            step = F.when(F.array_contains(places, 0) | (behind == 0), F.lit(0)).otherwise(last + behind)
+            return F.concat(places, F.array(step))
+        return F.aggregate(seq, F.array().cast("array<int>"), next_place)
 
     def step(acc: Column, rule: Column) -> Column:
-        hit = F.regexp_like(acc["rest"], rule["pattern"])
-        rest = F.when(hit, F.regexp_replace(acc["rest"], rule["pattern"], rule["left"])).otherwise(acc["rest"])
-        found = F.when(hit, F.concat(acc["found"], F.array(rule["name"]))).otherwise(acc["found"])
-        return F.struct(rest.alias("rest"), found.alias("found"))
+        places = walk(acc["rest"], rule["seq"])
+        hit = ~F.array_contains(places, 0)
+        rest = F.filter(acc["rest"], lambda _, i: ~F.array_contains(places, i + 1))
+        return F.struct(F.when(hit, rest).otherwise(acc["rest"]).alias("rest"),
+                        F.when(hit, F.concat(acc["found"], F.array(rule["name"]))).otherwise(acc["found"]).alias("found"))
 
     return F.aggregate(rules, state, step)
 
@@ -191,11 +209,17 @@ def scan(docs: DataFrame, keep: list[str] | None = None, all_rows: bool = False)
         rows = rows.where(F.size("sentences") > 0)
     rows = rows.withColumn("sentences", F.coalesce("sentences", F.array().cast("array<string>")))
     rows = rows.withColumn("m", match_rules(F.col("sentences")))
-    asked = [x for x in {*SENTENCES.values(), *(n for _, n in PATTERNS)} if x not in SILENT]
-    unknown = F.exists("sentences", lambda s: s.isin(sorted(asked)) & F.contains(F.col("m.rest"), F.concat(F.lit("|"), s, F.lit("|"))))
-    unknown = unknown | F.exists("sentences", lambda s: s.startswith("spdx:") & tagged(s).isNull())
+    asked = [x for x in {*SENTENCES.values(), *NAMED.values(), *(n for _, n in PATTERNS)} if x not in SILENT]
+    # a sentence left over asks for no verdict when it belongs to a licence that was found
+    homes = {i: sorted({name for name, seq in RULES if i in seq}) for i in asked}
+    home = F.create_map(*[x for i, names in homes.items() for x in (F.lit(i), F.lit(names) if names else F.array().cast("array<string>"))])
     found = F.concat("m.found", F.array_compact(F.transform("sentences", tagged)))
-    return rows.select(*keep, "sentences", F.array_sort(F.array_distinct(found)).alias("licenses"), unknown.alias("unknown"))
+    # "all rights reserved" stands in the header of many licences: alone it means none
+    found = F.when(F.exists(found, lambda x: x != "Proprietary"), F.array_remove(found, "Proprietary")).otherwise(found)
+    rows = rows.withColumn("l", found)
+    unknown = F.exists("m.rest", lambda x: x.isin(sorted(asked)) & ~F.arrays_overlap(F.try_element_at(home, x), F.col("l")))
+    unknown = unknown | F.exists("sentences", lambda x: x.startswith("spdx:") & tagged(x).isNull())
+    return rows.select(*keep, "sentences", F.array_sort(F.array_distinct("l")).alias("licenses"), unknown.alias("unknown"))
 
 
 def op9_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +235,8 @@ def _quoted(s: str) -> str:
 
 def _sql() -> str:
     # The SQL cuts at every line end: it states the query for texts with each known sentence on one line
-    # and without SPDX tags.
-    pairs = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in SENTENCES.items())
+    # and without SPDX tags or "License: id" lines; a plain-Python twin in the tests states those.
+    pairs = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in [*SENTENCES.items(), *((f"granted {k}", v) for k, v in NAMED.items())])
     patterns = " ".join(f"WHEN regexp_matches(s.norm, {_quoted(p)}) THEN {_quoted(n)}" for p, n in PATTERNS)
     steps, prev = [], "joined"
     for i, (name, seq) in enumerate(RULES):
@@ -226,13 +250,13 @@ WITH known(norm, name) AS (VALUES {pairs}),
 d AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents WHERE text IS NOT NULL),
 s0 AS (SELECT row, doc_id, unnest(string_split_regex(regexp_replace(text, '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+')) AS sentence,
               generate_subscripts(string_split_regex(regexp_replace(text, '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+'), 1) AS k FROM d),
-s AS (SELECT row, doc_id, k, trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')) AS norm FROM s0),
+s AS (SELECT row, doc_id, k, regexp_replace(trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')), {_quoted('^' + GRANTED)}, 'granted ') AS norm FROM s0),
 named AS (SELECT s.row, s.doc_id, s.k, coalesce(known.name, CASE {patterns} END) AS name FROM s LEFT JOIN known ON s.norm = known.norm),
 joined AS (SELECT doc_id, row, string_agg(name, ',' ORDER BY k) AS ids, count(*) AS n, '|' || string_agg(name, '||' ORDER BY k) || '|' AS rest, []::VARCHAR[] AS found
            FROM named WHERE name IS NOT NULL GROUP BY doc_id, row),
 {", ".join(steps)}
 SELECT doc_id, ids AS sentence_ids, CASE WHEN len(found) > 0 THEN array_to_string(list_sort(list_distinct(found)), ',') ELSE 'UNKNOWN' END AS licenses,
-       n AS n_sentences FROM {prev}
+       n AS n_sentences FROM (SELECT doc_id, ids, n, CASE WHEN len(list_filter(found, lambda x: x <> 'Proprietary')) > 0 THEN list_filter(found, lambda x: x <> 'Proprietary') ELSE found END AS found FROM {prev})
 """
 
 

@@ -21,7 +21,7 @@ def test_rules_and_edge_cases(spark):
 
 def test_every_sentence_has_a_keyword():
     assert all(any(k in s for k in licenses.KEYWORDS) for s in licenses.SENTENCES)
-    assert {i for _, seq in licenses.RULES for i in seq} <= set(licenses.SENTENCES.values())
+    assert {i for _, seq in licenses.RULES for i in seq} <= {*licenses.SENTENCES.values(), *licenses.NAMED.values()}
 
 
 MIT = [
@@ -91,3 +91,45 @@ def test_spdx_tags_name_their_licence(spark):
              ("Copyright 2020 me\n" + tag + "BSD-3-Clause\nReleased under the MIT License.", ["BSD-3-Clause", "MIT"], False, ["copyright", "spdx:bsd 3 clause", "mitRef"])]
     got = verdicts(spark, [c[0] for c in cases])
     assert [got[i] for i in range(len(cases))] == [c[1:] for c in cases]
+
+
+def test_usual_headers_and_declarations(spark):
+    got = verdicts(spark, [
+        "Copyright (c) 2019, Some One\nAll rights reserved.\n\n" + "\n\n".join(BSD[1:]), "This project is licensed under the terms of the MIT license.", "License: MIT",
+        "Licence: Apache-2.0\nmore", "This software is distributed under the Apache License 2.0.", "All rights reserved.", "\n\n".join(APACHE[:2]),
+        "License: my own", "Licensed under the MIT License.\nAll rights reserved."])
+    assert [got[i][:2] if i in got else None for i in range(9)] == [
+        (["BSD-3-Clause"], False), (["MIT"], False), (["MIT"], False), (["Apache-2.0"], False), (["Apache-2.0"], False), (["Proprietary"], False),
+        (["Apache-2.0"], False), None, (["MIT"], False)]
+
+
+def walked(ids):
+    """The rules in plain Python: (what is left, licences found)."""
+    rest, found = list(ids), []
+    for name, seq in licenses.RULES:
+        places, at = [], 0
+        for i in seq:
+            if i not in rest[at:]:
+                break
+            at = rest.index(i, at) + 1
+            places.append(at - 1)
+        else:
+            rest = [x for k, x in enumerate(rest) if k not in places]
+            found.append(name)
+    return rest, found
+
+
+def test_rules_equal_plain_walk_and_long_texts_end(spark):
+    import random
+    import time
+
+    from pyspark.sql import functions as F
+    rnd = random.Random(4)
+    names = sorted({*licenses.SENTENCES.values(), *licenses.NAMED.values()})
+    cases = [[rnd.choice(names[: rnd.choice([4, 12, len(names)])]) for _ in range(rnd.randint(0, 14))] for _ in range(150)]
+    cases += [["apacheRef", "apacheComply", "apacheCopy", "apacheAsIs"] * 2500, ["mitGrant", "mitNotice"] * 5000]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, ids array<string>")
+    began = time.time()
+    got = {r.i: (list(r.m.rest), list(r.m.found)) for r in df.select("i", licenses.match_rules(F.col("ids")).alias("m")).collect()}
+    assert [got[i] for i in range(len(cases))] == [walked(c) for c in cases]
+    assert time.time() - began < 60
