@@ -6,9 +6,11 @@ then the shards of each source, receive blocks one by one in order of their
 highest quotients v / (2k + 1).  A shard is a bounded hash slice of one source,
 so a source that holds a third of all rows is many shards.  Inside a shard the
 documents stand on a line in seeded order; the line is read twice, cut into
-blocks, and the shard's quota of blocks is drawn by seeded hash, those of the
-first reading before those of the second.  A document's ``taken`` words are its
-overlap with the drawn blocks, hence at most twice its size.
+blocks (the last one may be shorter), and the shard's quota of blocks is drawn by
+seeded hash, those of the first reading before those of the second and a short last
+block only with all others.  Blocks of a quota
+that a shard does not have go to other shards of its source.  A document's
+``taken`` words are its overlap with the drawn blocks, hence at most twice its size.
 
 Everything is DataFrame functions; all draws are MD5 of ids and the seed, so
 reruns and recomputed partitions agree.
@@ -101,6 +103,15 @@ def sainte_lague(parties: DataFrame, group: list[str], name: str, votes: str, se
     return joined.select(*parties.columns, (F.col("__sure") + F.coalesce("__won", F.lit(0))).cast("long").alias(out))
 
 
+def held_quotas(shards: DataFrame, block: int, most: int) -> DataFrame:
+    """``shards`` with ``last``, the blocks of its line, and ``blocks`` held to it; what is over goes to the source's first shards with room."""
+    rows = shards.withColumn("last", F.ceil(F.col("shard_size") * most / block))
+    rows = rows.withColumn("__over", F.greatest(F.col("blocks") - F.col("last"), F.lit(0))).withColumn("__room", F.greatest(F.col("last") - F.col("blocks"), F.lit(0)))
+    source, before = Window.partitionBy("source"), Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    more = F.greatest(F.least(F.sum("__over").over(source) - F.coalesce(F.sum("__room").over(before), F.lit(0)), "__room"), F.lit(0))
+    return rows.withColumn("blocks", F.least("blocks", "last") + more).drop("__over", "__room")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: int = MOST, block: int = BLOCK,
         shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)``, one row per row of ``docs(doc_id, text, source)``."""
@@ -119,14 +130,16 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     rows = stored(rows, "mix-line")
     shards = rows.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("quota").alias("quota"))
     shards = sainte_lague(shards, ["source"], "shard", "shard_size", "quota", "blocks").where("shard_size > 0")
-    # 3. seeded choice of the blocks of the line, read `most` times
-    last = F.floor(F.col("shard_size") * most / block)
+    shards = stored(held_quotas(shards, block, most), "mix-shards")
+    # 3. seeded choice of the blocks of the line, read `most` times; the shards are dealt out before they become blocks
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = F.md5(F.concat_ws(":", F.coalesce("source", F.lit("null")), "shard", "block", F.lit(str(seed))).cast("binary"))
-    cut = shards.where(last > 0).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last - 1)))
+    cut = shards.repartition(width, "source", "shard").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - 1)))
     cut = cut.withColumn("lap", F.floor(F.col("block") * block / F.col("shard_size"))).withColumn("name", named)
-    order = Window.partitionBy("source", "shard").orderBy("lap", "name", "block")
+    short = (F.col("block") == F.col("last") - 1) & (F.col("last") * block > F.col("shard_size") * most)  # drawn when all are
+    order = Window.partitionBy("source", "shard").orderBy(short, "lap", "name", "block")
     drawn = cut.withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.col("blocks"))
-    drawn = drawn.select(F.col("source").alias("s"), F.col("shard").alias("h"), F.col("block").alias("b"), "shard_size")
+    drawn = drawn.select(F.col("source").alias("s"), F.col("shard").alias("h"), F.col("block").alias("b"))
     # 4. overlap of each document's stretches (one per reading) with the drawn blocks
     size_of = shards.select(F.col("source").alias("s"), F.col("shard").alias("h"), "shard_size")
     put = rows.where("size > 0").join(size_of, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h"))).drop("s", "h")
@@ -134,7 +147,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     put = put.withColumn("hi", F.col("until") + F.col("reading") * F.col("shard_size")).withColumn("lo", F.col("hi") - F.col("size"))
     put = put.withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))))
     put = put.select("row", "source", "shard", "block", "lo", "hi")
-    hit = put.join(drawn.drop("shard_size"), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")) & (F.col("block") == F.col("b")))
+    # blocks grow with the words: both sides are merged, neither is broadcast
+    hit = put.join(drawn.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")) & (F.col("block") == F.col("b")))
     words = F.least("hi", (F.col("block") + 1) * block) - F.greatest("lo", F.col("block") * block)
     taken = hit.groupBy("row").agg(F.sum(words).alias("got"))
     out = rows.join(taken, "row", "left")
@@ -167,14 +181,19 @@ x AS (SELECT d.*, g.source_size, g.target, coalesce(qs.quota, 0) AS quota,
       FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN qs ON d.source IS NOT DISTINCT FROM qs.source),
 y AS (SELECT *, (sum(size) OVER (PARTITION BY source, shard ORDER BY draw, size ROWS UNBOUNDED PRECEDING))::BIGINT AS until FROM x),
 h AS (SELECT source, shard, sum(size)::BIGINT AS shard_size, any_value(quota) AS quota FROM y GROUP BY source, shard),
-hs AS (SELECT source, shard, any_value(shard_size) AS shard_size, count(*) AS blocks FROM (
-         SELECT *, row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard) AS r
-         FROM (SELECT *, unnest(range(0, 2 * ceil(shard_size / {BLOCK}.0)::BIGINT + 3)) AS k FROM h WHERE shard_size > 0))
-       WHERE r <= quota GROUP BY source, shard),
+h0 AS (SELECT h.source, h.shard, h.shard_size, ceil(h.shard_size * 2 / {BLOCK}.0)::BIGINT AS last, coalesce(z.blocks, 0) AS blocks FROM h LEFT JOIN (
+         SELECT source, shard, count(*) AS blocks FROM (
+           SELECT *, row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard) AS r
+           FROM (SELECT *, unnest(range(0, 2 * ceil(shard_size / {BLOCK}.0)::BIGINT + 3)) AS k FROM h WHERE shard_size > 0))
+         WHERE r <= quota GROUP BY source, shard) z ON h.source IS NOT DISTINCT FROM z.source AND h.shard = z.shard WHERE h.shard_size > 0),
+hs AS (SELECT source, shard, shard_size, last, least(blocks, last) + greatest(least(
+         sum(greatest(blocks - last, 0)) OVER (PARTITION BY source)
+         - coalesce(sum(greatest(last - blocks, 0)) OVER (PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0),
+         greatest(last - blocks, 0)), 0) AS blocks FROM h0),
 b AS (SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY source, shard ORDER BY (block * {BLOCK}) // shard_size,
+        SELECT *, row_number() OVER (PARTITION BY source, shard ORDER BY block = last - 1 AND last * {BLOCK} > shard_size * 2, (block * {BLOCK}) // shard_size,
             md5(coalesce(source, 'null') || ':' || shard || ':' || block || ':{SEED}'), block) AS r
-        FROM (SELECT *, unnest(range(0, shard_size * 2 // {BLOCK})) AS block FROM hs))
+        FROM (SELECT *, unnest(range(0, last)) AS block FROM hs))
       WHERE r <= blocks),
 p AS (SELECT y.row, y.source, y.shard, y.until + e.e * h.shard_size AS hi, y.until + e.e * h.shard_size - y.size AS lo
       FROM y JOIN h ON y.source IS NOT DISTINCT FROM h.source AND y.shard = h.shard, (SELECT unnest([0, 1]) AS e) e WHERE y.size > 0),

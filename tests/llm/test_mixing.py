@@ -69,3 +69,35 @@ def test_mix_contract_and_edge_cases(spark):
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
     assert mixing.mix(df.where("false")).count() == 0
     assert {r.taken for r in mixing.mix(df.where("source = 'empty'")).collect()} == {0}
+
+
+def test_small_sources_reach_their_targets(spark):
+    rows, k = [], 0
+    for s, n, words in (("two", 1, 2), ("sixty", 3, 20), (None, 5, 50), ("big", 30, 500), ("one", 1, 1)):
+        for _ in range(n):
+            rows.append((k, "w " * words, s))
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want = level_targets(sizes)
+    for params in ({}, {"shard_words": 100}, {"block": 16}):
+        taken = Counter()
+        for r in mixing.mix(df, **params).collect():
+            assert 0 <= r.taken <= 2 * r.size
+            taken[r.source] += r.taken
+        block = params.get("block", mixing.BLOCK)
+        shards = {s: max(1, -(-sizes[s] // params.get("shard_words", mixing.SHARD_WORDS))) for s in sizes}
+        for s in sizes:  # one block per source, and the shorter last block of each shard that is taken whole
+            assert abs(taken[s] - want[s]) <= block * (1 + (shards[s] if shards[s] > 1 else 0)), (s, taken[s], want[s], params)
+    got = Counter()
+    for r in mixing.mix(df).collect():
+        got[r.source] += r.taken
+    assert want["sixty"] == got["sixty"] == 120 and want[None] == got[None] == 500
+
+
+def test_quota_beyond_a_shard_goes_to_its_source(spark):
+    shards = spark.createDataFrame([("a", 0, 64, 5), ("a", 1, 640, 2), ("a", 2, 640, 10), (None, 0, 64, 3)], "source string, shard long, shard_size long, blocks long")
+    got = {(r.source, r.shard): r.blocks for r in mixing.held_quotas(shards, 128, 2).collect()}
+    assert got == {("a", 0): 1, ("a", 1): 6, ("a", 2): 10, (None, 0): 1}
