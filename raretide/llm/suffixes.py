@@ -378,4 +378,4 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
 
 
 def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
