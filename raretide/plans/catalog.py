@@ -23,7 +23,7 @@ from raretide.spec import FIXTURE, FIXTURE_PRESETS, FeatureSpec
 Query = Callable[[SparkSession, str], DataFrame]
 TE_COLS = list(FIXTURE.te_cols)
 #: Trials of the registered parameter search.
-SEARCH_TRIALS = 9
+SEARCH_TRIALS = 6
 
 
 def _round_doubles(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
