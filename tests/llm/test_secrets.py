@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from raretide.llm import secrets
@@ -83,3 +85,49 @@ def test_long_names_count_as_named(spark):
     df = spark.createDataFrame([(i, f, "", "") for i, f in enumerate(found)], "doc_id long, found string, before string, after string")
     rows = secrets.with_features(df).orderBy("doc_id").collect()
     assert [r.x[secrets.FEATURES.index("named")] for r in rows] == [1.0, 1.0, 0.0]
+
+
+def prose(spark):
+    """Rows whose words fill a dictionary."""
+    words = "account information service download build number request library manual folder index report value".split()
+    return spark.createDataFrame([(i, " ".join(words)) for i in range(4)], "doc_id long, text string")
+
+
+def test_dictionary_counts_rows_and_covers_pieces(spark):
+    df = prose(spark).unionByName(spark.createDataFrame([(9, "rare rare rare rare Account"), (None, None), (10, "")], "doc_id long, text string"))
+    words = secrets.word_table(df)
+    got = {r.word for r in words.collect()}
+    assert "account" in got and "rare" not in got and len(got) == 13
+    rows = spark.createDataFrame([("getAccountInformation7", "", ""), ("AccountInformation7", "", ""), ("Zq81Kx9pWf", "", ""), (None, None, None)], "found string, before string, after string")
+    out = {r.found: r.x[secrets.FEATURES.index("coverage")] for r in secrets.with_features(rows, words).collect()}
+    assert out == {"getAccountInformation7": 18 / 22, "AccountInformation7": 18 / 19, "Zq81Kx9pWf": 0.0, None: 0.0}
+
+
+def test_identifiers_and_paths_are_no_secrets(spark):
+    texts = ["x getUserAccountInformation2 y", "see /usr/share/doc/python3/README2 now", "if token=getAuthenticationTokenFromRequest then", "x build_number_request_report7 y",
+             "x /library/manual/folder3/Index12 y"]
+    found = [f"x password={PW} y", f"x {AWS} y", f'x token = "{HEX}" y', "x api_key=Zq81Kx9pWfT4mB7nL2 y"]
+    df = spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts + found)], "doc_id long, text string").unionByName(prose(spark))
+    assert sorted(r.doc_id for r in secrets.findings(df).collect()) == [100 + len(texts) + i for i in range(len(found))]
+
+
+def test_masking_goes_by_place(spark):
+    value = "Zq81Kx9pWfT4mB7nL2"
+    texts = [f"x api_key={value} and {value}, but pre{value[:8]} stays", f"\x01 api_key={value}\x02 \x01", f"api_key={value}", f'"{value}":api_key="{value}"', "\x01 nothing \x01", "😀 é token=" + HEX]
+    df = frame(spark, list(enumerate(texts)) + [(2, texts[2])])
+    got = sorted((r.doc_id, r.text) for r in secrets.redact(df).collect())
+    want = [(i, t.replace(value, "[SECRET]").replace(HEX, "[SECRET]")) for i, t in enumerate(texts)] + [(2, "api_key=[SECRET]")]
+    assert got == sorted(want)
+    starts = {(r.doc_id, r.start) for r in secrets.findings(df).collect()}
+    assert {(0, texts[0].index("api_key") + 1), (1, texts[1].index("api_key") + 1), (5, texts[5].index("token") + 1)} <= starts
+
+
+def test_hostile_texts_end_soon(spark):
+    size = 1 << 20
+    texts = [(p * (size // len(p) + 1))[:size] for p in ("password", "password-", "sk-", "a=", "a/password=", "password: ", "a1b2c3d4e5f6g7h8 ", "-----BEGIN PRIVATE KEY-----", "x")]
+    began = time.monotonic()
+    rows = secrets.candidates(frame(spark, list(enumerate(texts))), ["doc_id"]).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("start").alias("last")).collect()
+    assert time.monotonic() - began < 60
+    got = {r.doc_id: (r.n, r.last) for r in rows}
+    tokens = (size + 1) // 17  # the last one ends with the text
+    assert got[6] == (tokens, 17 * (tokens - 1) + 1) and 8 not in got
