@@ -36,6 +36,8 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 _BLOCK = 1 << 15
+#: Probe keys that a task makes of its fingerprints.
+KEYS_A_TASK = 1 << 20
 
 
 def fingerprint_bytes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -96,6 +98,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         probe.append(key(i, own))
         if 2 * max_bits // n >= 1:
             probe += [key(i, own.bitwiseXOR(F.lit(1 << j).cast("long"))) for j in range(nxt[1])]
+    # a row becomes dozens: enough tasks for the rows that come out, not for the few bytes that go in
+    rows = fps.count()
+    fps = fps.repartition(max(1, -(-rows * len(probe) // KEYS_A_TASK)), "fp")
     left = fps.select(fp.alias("a"), F.explode(F.array(*probe)).alias("key"))
     right = fps.select(fp.alias("b"), F.explode(F.array(*index)).alias("key"))
     diff = F.col("a").bitwiseXOR(F.col("b"))
@@ -121,7 +126,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
 
 def _lowest(fps: DataFrame, rank: Column, max_bits: int) -> DataFrame:
     """``(fp, low)`` of every distinct ``fp``: the smallest ``rank`` among the rows of its component."""
-    classes = fps.groupBy("fp").agg(F.min(rank).alias("low"))
+    classes = stored(fps.groupBy("fp").agg(F.min(rank).alias("low")), "simhash-classes")
     found = stored(links(classes.select("fp"), max_bits), "simhash-links")
     roots = connected_components(found).withColumnRenamed("node", "fp")
     classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
