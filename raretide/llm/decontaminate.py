@@ -15,8 +15,11 @@ five-word shingles occur there, and at least ``PART`` of the words of its
 question and of its answer.  The answer is the ``answer`` column where there is
 one, otherwise the item's last sentence (its second half, if it has one only).
 
-The index is collected in parts of at most ``INDEX_ROWS`` postings, each sent to
-the tasks and run over the documents; document counts come from all items.
+The index holds every different item once (by the digest of text and answer); item ids are joined to the
+verified matches in Spark, so equal items cost the index nothing.  It is collected in parts, cut where the
+running count of postings passes a multiple of ``INDEX_ROWS``: a part holds at most that many and those of one
+item more.  Each part is sent to the tasks and run over the documents; document counts come from
+all items, repeated ones included.
 
 Defined cases: null or wordless texts and items match nothing; items of fewer
 than five words are one shingle; equal items each report; repeated documents
@@ -34,7 +37,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from raretide.llm.common import stored, table
@@ -75,7 +78,7 @@ class Index:
     """One part of the inverted index, as a task holds it."""
 
     def __init__(self, items: list[tuple], df: dict[bytes, int], n_items: int, mean_len: float, longest: int):
-        """items: (item_id, text, answer or None); df: items that hold a term, over all items."""
+        """items: (item id or key, text, answer or None); df: items that hold a term, over all items."""
         self.ids, self.checks, posts = [], [], defaultdict(list)
         for item_id, text, answer in items:
             question, reply = question_and_answer(text, answer)
@@ -185,38 +188,62 @@ class Index:
         return best
 
 
-def _parts(items: DataFrame) -> Iterator[tuple]:
-    """The index as bounded parts: (items, df, n_items, mean_len, longest)."""
+def _keyed(items: DataFrame) -> DataFrame:
+    """``(item_key, item_id, text, answer)`` of the items with a text; equal text and answer have equal keys."""
     answer = F.col("answer").cast("string") if "answer" in items.columns else F.lit(None).cast("string")
+    rows = items.where("text is not null").select("item_id", "text", answer.alias("answer"))
+
+    def digest(name: str) -> Column:
+        return F.coalesce(F.sha2(F.col(name).cast("binary"), 256), F.lit("-"))
+
+    return rows.select(F.concat(digest("text"), digest("answer")).alias("item_key"), "item_id", "text", "answer")
+
+
+def _parts(items: DataFrame) -> Iterator[tuple]:
+    """The index of ``_keyed`` items as bounded parts: (items, df, n_items, mean_len, longest)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             words = [words_of(f"{t} {a}" if a is not None else t) for t, a in zip(b["text"], b["answer"])]
-            yield pd.DataFrame({"item_id": b["item_id"], "text": b["text"], "answer": b["answer"], "n": [len(w) for w in words], "terms": [sorted({x.decode("utf-8", "surrogatepass") for x in w}) for w in words]})
+            yield b.assign(n=[len(w) for w in words], terms=[sorted({x.decode("utf-8", "surrogatepass") for x in w}) for w in words])
 
-    kind = items.schema["item_id"].dataType.simpleString()
-    rows = items.where("text is not null").select("item_id", "text", answer.alias("answer"))
-    rows = stored(rows.mapInPandas(count, f"item_id {kind}, text string, answer string, n long, terms array<string>").where("n > 0"), "bm25-items")
-    total = rows.agg(F.count("*"), F.avg("n"), F.max("n"), F.sum(F.size("terms"))).first()
+    distinct = items.groupBy("item_key").agg(F.first("text").alias("text"), F.first("answer").alias("answer"), F.count("*").alias("copies"))
+    rows = distinct.mapInPandas(count, "item_key string, text string, answer string, copies long, n long, terms array<string>").where("n > 0")
+    rows = stored(rows, "bm25-items")
+    total = rows.agg(F.sum("copies"), F.sum(F.col("n") * F.col("copies")), F.max("n"), F.sum(F.size("terms"))).first()
     if not total[0]:
         return
-    parts = -(-int(total[3]) // INDEX_ROWS)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)))
-    df = rows.select("part", F.explode("terms").alias("term"))
-    counts = stored(df.groupBy("term").agg(F.count("*").alias("df"), F.collect_set("part").alias("at")), "bm25-df")
-    for p in range(parts):
+    # running postings: totals of hash ranges of about an eighth of a part, then inside each range
+    ranges = 8 * (-(-int(total[3]) // INDEX_ROWS))
+    sized = rows.withColumn("range", F.pmod(F.xxhash64("item_key"), F.lit(ranges)))
+    heads = sized.groupBy("range").agg(F.sum(F.size("terms")).alias("all"))
+    heads = heads.select("range", (F.sum("all").over(Window.orderBy("range")) - F.col("all")).alias("head"))
+    before = F.sum(F.size("terms")).over(Window.partitionBy("range").orderBy("item_key")) - F.size("terms")
+    rows = sized.withColumn("before", before).join(heads, "range").withColumn("part", F.floor((F.col("head") + F.col("before")) / INDEX_ROWS))
+    rows = stored(rows.select("item_key", "text", "answer", "copies", "terms", "part"), "bm25-parts")
+    df = rows.select("part", "copies", F.explode("terms").alias("term"))
+    counts = stored(df.groupBy("term").agg(F.sum("copies").alias("df"), F.collect_set("part").alias("at")), "bm25-df")
+    for p in range(-(-int(total[3]) // INDEX_ROWS)):
         terms = {r.term.encode("utf-8", "surrogatepass"): r.df for r in counts.where(F.array_contains("at", p)).select("term", "df").toLocalIterator()}
-        own = [(r.item_id, r.text, r.answer) for r in rows.where(F.col("part") == p).orderBy("item_id", "text").toLocalIterator()]
-        yield own, terms, int(total[0]), float(total[1]), int(total[2])
+        own = [(r.item_key, r.text, r.answer) for r in rows.where(F.col("part") == p).orderBy("item_key").toLocalIterator()]
+        if own:
+            yield own, terms, int(total[0]), int(total[1]) / int(total[0]), int(total[2])
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """``(keep..., item_id, score, similarity, question, answer)`` per document row and verified item."""
     keep = keep or ["doc_id"]
+    named = stored(_keyed(items), "bm25-keyed")
+    found = stored(_found(docs, named, threshold, keep), "bm25-found")  # the documents are searched once, whatever the join does
+    ids = named.select(F.col("item_key").alias("__key"), "item_id")
+    return found.join(ids, F.col("item_key") == F.col("__key")).select(*keep, "item_id", "score", "similarity", "question", "answer")
+
+
+def _found(docs: DataFrame, items: DataFrame, threshold: float, keep: list[str]) -> DataFrame:
+    """``(keep..., item_key, score, similarity, question, answer)`` per document row and different verified item."""
     spark = docs.sparkSession
-    item_kind = items.schema["item_id"].dataType.simpleString()
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema += f", item_id {item_kind}, score double, similarity double, question double, answer double"
+    schema += ", item_key string, score double, similarity double, question double, answer double"
     out = spark.createDataFrame([], schema)
     for part in _parts(items):
         sent = spark.sparkContext.broadcast(part)
@@ -228,7 +255,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, keep:
                 if found:
                     cols = list(zip(*found))
                     frame = b[keep].iloc[list(cols[0])].reset_index(drop=True)
-                    for name, values in zip(("item_id", "score", "similarity", "question", "answer"), cols[1:]):
+                    for name, values in zip(("item_key", "score", "similarity", "question", "answer"), cols[1:]):
                         frame[name] = list(values)
                     yield frame
 
@@ -238,8 +265,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, keep:
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
-    keyed = docs.withColumn("__row", F.xxhash64("text", F.lit(1)))
-    found = leaks(docs.select(F.xxhash64("text", F.lit(1)).alias("__row"), "text"), items, threshold, ["__row"])
+    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    keyed = docs.withColumn("__row", digest)
+    found = _found(docs.select(digest.alias("__row"), "text"), stored(_keyed(items), "bm25-keyed"), threshold, ["__row"])
     found = stored(found.select("__row").distinct(), "leaks")
     return keyed.join(found, "__row", "left_anti").select(*docs.columns)
 

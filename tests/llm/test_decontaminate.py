@@ -52,3 +52,22 @@ def test_leaks_and_edge_cases(spark):
         assert sorted(((r.doc_id, r.item_id) for r in dc.leaks(df, bench).collect()), key=str) == got
     finally:
         dc.INDEX_ROWS = before
+
+
+def test_equal_items_are_indexed_once_and_all_report(spark):
+    texts = [f"alpha{i} beta{i} gamma{i} delta{i}. omega{i} sigma{i} theta{i} kappa{i}." for i in range(12)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[3]) for i in range(30)] + [(None, texts[4]), (5, texts[5])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([(1, f"x {texts[3]} y"), (2, texts[4]), (3, texts[5]), (4, "nothing of the kind")], "doc_id long, text string")
+    before = dc.INDEX_ROWS
+    for size in (before, 20):
+        dc.INDEX_ROWS = size
+        try:
+            parts = list(dc._parts(dc._keyed(bench)))
+            out = sorted(((r.doc_id, r.item_id) for r in dc.leaks(df, bench).collect()), key=str)
+            kept = [r.doc_id for r in dc.keep_clean(df, bench).collect()]
+        finally:
+            dc.INDEX_ROWS = before
+        assert sum(len(p[0]) for p in parts) == 12 and all(p[2] == len(items) for p in parts)
+        assert all(sum(len(set(dc.words_of(t))) for _, t, _ in p[0]) < size + 8 for p in parts)
+        assert out == sorted([(1, 3), *((1, 100 + i) for i in range(30)), (2, 4), (2, None), (3, 5), (3, 5)], key=str) and kept == [4]
