@@ -148,3 +148,44 @@ def test_ordinal_rank_splits_a_hot_score(spark):
     for nb in (2, 8):
         got = {(r.id, r.score): r.rank_norm for r in ranknorm.ordinal_rank(df, [], n_buckets=nb).collect()}
         assert got == {r: k / 1001 for r, k in order.items()}
+
+
+@pytest.mark.parametrize("metric", ["ap", "auc"])
+def test_grid_counts_in_chunks_and_tiles(spark, metric):
+    """Every point equals brute force over rows with ties, nulls and NaN, however rows and positives are dealt."""
+    from raretide.operators import blend
+    rnd = random.Random(5)
+    rows = [(int(rnd.random() < 0.2), rnd.choice([None, float("nan"), -0.0, 0.0, rnd.gauss(0, 1), 0.5]), round(rnd.random(), 1)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "target int, a double, b double")
+    brute = brute_ap if metric == "ap" else brute_auc
+    y = [r[0] for r in rows]
+
+    def key(w, a, b):
+        return -1e300 if a is None else 1e300 if a != a else w * a + (4 - w) * b
+    want = {w: brute(y, [key(w, a, b) for _, a, b in rows]) for w in range(5)}
+    for chunk, tile in ((1000, 1000), (70, 1000), (70, 11)):
+        got = {r.w1: r.metric for r in blend.grid_metric(df, ["a", "b"], 4, metric, chunk_rows=chunk, tile_rows=tile).collect()}
+        assert got == {w: pytest.approx(v, abs=1e-12) for w, v in want.items()}
+    assert {r.metric for r in blend.grid_metric(df.where("target = 0"), ["a", "b"], 4, metric).collect()} == {None}
+    assert blend.grid_metric(df.where("false"), ["a", "b"], 4, metric).collect() == []
+
+
+def test_whole_grid_of_many_points_ends(spark):
+    """5,151 points x 50,000 rows: a row per row and point (258 million) would not end within the time."""
+    import time
+
+    from raretide.operators import blend
+    n, names = 50_000, ["a", "b", "c"]
+    df = spark.range(n, numPartitions=4).select("id", (F.xxhash64("id") % 25 == 0).cast("int").alias("target"),
+                                                *[((F.xxhash64("id", F.lit(i)) / 2.0**64) + 0.5).alias(m) for i, m in enumerate(names)])
+    begun = time.time()
+    got = {(r.w1, r.w2): r.metric for r in blend.grid_metric(df, names, 100, "ap").collect()}
+    assert len(got) == 5151 and time.time() - begun < 60
+    rows = df.collect()
+    for w1, w2 in ((0, 0), (37, 21)):
+        order = sorted(rows, key=lambda r: -(w1 * r.a + w2 * r.b + (100 - w1 - w2) * r.c))  # scores are distinct
+        hits, total = 0, 0.0
+        for i, r in enumerate(order, 1):
+            hits += r.target
+            total += r.target * hits / i
+        assert got[w1, w2] == pytest.approx(total / hits, abs=1e-12)
