@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from raretide.operators.ordered import default_buckets, prefix_sums
 
+#: Rows of a column in one value range of the ordered pass.
+ROWS_PER_BUCKET = 1_000_000
+
 
 @dataclass
 class Stump:
@@ -47,16 +50,20 @@ def _purity(pos: Column, neg: Column, spw: float) -> Column:
     return (w * w + neg * neg) / (w + neg)
 
 
-def split_candidates(folded: DataFrame, cols: list[str], k: int, spw: float, label: str = "target", fold_col: str = "fold") -> DataFrame:
+def split_candidates(folded: DataFrame, cols: list[str], k: int, spw: float, label: str = "target", fold_col: str = "fold",
+                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``(tf, place, threshold, gain, left_pos, left_neg, right_pos, right_neg)`` of every valid split of every training split."""
     counters = [f"{side}{f}" for f in range(k) for side in ("pos", "neg")]
     hit = {f"{side}{f}": (F.col(fold_col) == f) & (F.col(label) == y) for f in range(k) for side, y in (("pos", 1), ("neg", 0))}
-    whole = folded.agg(*[F.count_if(hit[c]).alias(c) for c in counters]).first()  # 2 k numbers
+    whole = folded.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(hit[c]).alias(c) for c in counters]).first()  # 2 k + 1 numbers
     cells = F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("double").alias("value")) for i, c in enumerate(cols)])
     long = folded.select(fold_col, label, F.explode(cells).alias("c")).select(fold_col, label, "c.place", "c.value")
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     counted = long.groupBy("place", "value").agg(*[F.count_if(hit[c]).alias(c) for c in counters])
-    run = prefix_sums(counted, ["place"], ["value"], counters, n_buckets=default_buckets(folded.sparkSession, len(cols)), totals=False)
+    # a column of many distinct values is cut into ranges by the rows, whatever the number of columns
+    n_buckets = max(default_buckets(folded.sparkSession, len(cols)), -(-whole["n"] // rows_per_bucket))
+    run = prefix_sums(counted, ["place"], ["value"], counters, n_buckets=n_buckets, totals=False,
+                      tasks=max(default_buckets(folded.sparkSession), n_buckets * len(cols)))
 
     def side(tf: int) -> Column:
         left = {s: sum((F.col(f"cum_{s}{f}") for f in range(k) if f != tf), F.lit(0)) for s in ("pos", "neg")}

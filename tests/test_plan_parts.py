@@ -144,3 +144,13 @@ def test_plan_with_nested_encoding_search_and_pseudo_rows(spark):
     assert nested and set(nested) <= set(names) and not any("__o" in c for c in names)
     with pytest.raises(ValueError):
         pipeline.finish(done.oof, done.test, ["xgb"], "unknown")
+
+
+def test_stump_ranges_follow_the_rows(spark, monkeypatch):
+    """A column of many distinct values is ordered in ranges of counted size, with the same splits."""
+    rows, f = some(spark, 150)
+    asked, real = [], stump.prefix_sums
+    monkeypatch.setattr(stump, "prefix_sums", lambda *a, **k: asked.append(k["n_buckets"]) or real(*a, **k))
+    cols = ["x", "y", "z"]
+    whole, cut = ({tuple(r) for r in stump.split_candidates(f, cols, 3, 2.5, rows_per_bucket=n).collect()} for n in (1000, 10))
+    assert asked[1] >= 15 and whole == cut
