@@ -154,3 +154,16 @@ def test_stump_ranges_follow_the_rows(spark, monkeypatch):
     cols = ["x", "y", "z"]
     whole, cut = ({tuple(r) for r in stump.split_candidates(f, cols, 3, 2.5, rows_per_bucket=n).collect()} for n in (1000, 10))
     assert asked[1] >= 15 and whole == cut
+
+
+def test_nested_edges_come_from_one_set_of_passes(spark, monkeypatch):
+    rows, f = some(spark, 120)
+    calls, real = [], encode.column_quantiles
+    monkeypatch.setattr(encode, "column_quantiles", lambda df, cols, *a, **k: calls.append(cols) or real(df, cols, *a, **k))
+    m = encode.NestedTargetEncoder(["x", "z"], 3, smooth=5, n_bins=4).fit(f)
+    assert len(calls) == 1
+    for o in range(3):
+        want = {r["col"]: [] for r in real(f, ["x", "z"], [0.5]).collect()}
+        for r in real(f.where(F.col("fold") != o), ["x", "z"], [i / 4 for i in range(5)]).orderBy("q_idx").collect():
+            want[r["col"]].append(r["quantile"])
+        assert m.models[o].inner == {c: encode.inner_edges(e) for c, e in want.items()}
