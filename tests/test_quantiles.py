@@ -75,3 +75,13 @@ def test_only_cells_inside_brackets_are_shipped(spark, tmp_path):
 def test_no_rows_no_quantiles(spark):
     df = spark.createDataFrame([], "a double")
     assert quantiles.column_quantiles(df, ["a"], [0.5]).collect() == []
+
+
+def test_tied_cells_are_counted_without_rows(spark, monkeypatch):
+    """A bracket of one value is a plain sum: cells of 0/1 columns never become rows."""
+    df = spark.range(4000, numPartitions=3).select(*[(F.col("id") % m == 0).cast("double").alias(f"c{m}") for m in (3, 5)])
+    plans, stored = [], quantiles._stored
+    monkeypatch.setattr(quantiles, "_stored", lambda d: plans.append(d._jdf.queryExecution().toString()) or stored(d))
+    got = {r["col"]: r["quantile"] for r in quantiles.column_quantiles(df, df.columns, [0.5]).collect()}
+    assert got == {"c3": 0.0, "c5": 0.0}
+    assert plans and not any("explode" in p for p in plans)
