@@ -37,6 +37,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -264,12 +265,22 @@ def _found(docs: DataFrame, items: DataFrame, threshold: float, keep: list[str])
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that hold no test item."""
-    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
-    keyed = docs.withColumn("__row", digest)
-    found = _found(docs.select(digest.alias("__row"), "text"), stored(_keyed(items), "bm25-keyed"), threshold, ["__row"])
-    found = stored(found.select("__row").distinct(), "leaks")
-    return keyed.join(found, "__row", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that hold no test item.
+
+    A row is judged by its own text where it lies, one part of the index after the other: no document is shuffled.
+    """
+    spark = docs.sparkSession
+    for part in _parts(stored(_keyed(items), "bm25-keyed")):
+        sent = spark.sparkContext.broadcast(part)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            index = Index(*sent.value)
+            for b in batches:
+                clean = [not index.matches(t, threshold) for t in b.column("text").to_pylist()]
+                yield b.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

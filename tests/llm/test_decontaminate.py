@@ -71,3 +71,21 @@ def test_equal_items_are_indexed_once_and_all_report(spark):
         assert sum(len(p[0]) for p in parts) == 12 and all(p[2] == len(items) for p in parts)
         assert all(sum(len(set(dc.words_of(t))) for _, t, _ in p[0]) < size + 8 for p in parts)
         assert out == sorted([(1, 3), *((1, 100 + i) for i in range(30)), (2, 4), (2, None), (3, 5), (3, 5)], key=str) and kept == [4]
+
+
+def test_documents_are_not_shuffled_to_drop_those_with_items(spark):
+    texts = [f"alpha{i} beta{i} gamma{i} delta{i}. omega{i} sigma{i} theta{i} kappa{i}." for i in range(12)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string")
+    big = 2**60 + 1  # no double holds it
+    rows = [(big, f"x {texts[3]} y", None), (big, "nothing of the kind", [1, None]), (None, None, []), (big + 2, "nothing of the kind", None), (None, texts[8], [2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, more array<int>").coalesce(1)
+    before = dc.INDEX_ROWS
+    for size in (before, 20):
+        dc.INDEX_ROWS = size
+        try:
+            kept = dc.keep_clean(df, bench)
+        finally:
+            dc.INDEX_ROWS = before
+        assert kept.schema == df.schema and [tuple(r) for r in kept.collect()] == rows[1:4]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
