@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from raretide.operators import encode, folds, learners, resample, stump
+from raretide.operators import encode, folds, impute, learners, resample, stump
 from raretide.plans import pipeline
 from raretide.sources import stages
 
@@ -167,3 +167,43 @@ def test_nested_edges_come_from_one_set_of_passes(spark, monkeypatch):
         for r in real(f.where(F.col("fold") != o), ["x", "z"], [i / 4 for i in range(5)]).orderBy("q_idx").collect():
             want[r["col"]].append(r["quantile"])
         assert m.models[o].inner == {c: encode.inner_edges(e) for c, e in want.items()}
+
+
+def test_medians_are_taken_of_columns_with_nulls_alone(spark, monkeypatch):
+    _, f = some(spark)
+    probes = spark.range(1000, 1040).select("id", F.when(F.col("id") > 1005, 0.5).alias("x"), F.lit(0.25).alias("y"), F.lit(1.0).alias("z"))
+    asked = []
+
+    class Noted(impute.MedianImputer):
+        def __init__(self, cols, exact=True):
+            asked.append(list(cols))
+            super().__init__(cols, exact)
+
+    monkeypatch.setattr(pipeline, "MedianImputer", Noted)
+    cfg = pipeline.PlanConfig(k_folds=3)
+    tr, ts, feats = pipeline.encoded(f, probes, cfg)
+    assert asked == [["x", "z"]] and feats == ["x", "y", "z"]  # x has nulls on the test side, z on the train side
+    med = {c: float(np.median([r[c] for r in f.collect() if r[c] is not None])) for c in feats}
+    for before, after in ((f, tr), (probes, ts)):
+        old = {r.id: r for r in before.collect()}
+        for r in after.collect():
+            assert all(r[c] == pytest.approx(med[c] if old[r.id][c] is None else old[r.id][c]) for c in feats)
+    whole = f.where("z is not null")
+    assert [r.id for r in pipeline.encoded(whole, probes.where("x is not null"), cfg)[0].collect()] == [r.id for r in whole.collect()] and len(asked) == 1
+
+
+def test_stages_are_written_with_methods_that_the_jvm_compiles(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(name), []
+
+    def build():
+        seen.append(spark.conf.get(name))
+        return spark.range(3)
+
+    def fails():
+        raise ValueError("no table")
+
+    assert stages.stage(spark, "methods", uuid.uuid4().hex, build).count() == 3
+    with pytest.raises(ValueError):
+        stages.stage(spark, "methods", uuid.uuid4().hex, fails)
+    assert seen == ["8000"] and spark.conf.get(name) == before
