@@ -207,3 +207,18 @@ def test_stages_are_written_with_methods_that_the_jvm_compiles(spark):
     with pytest.raises(ValueError):
         stages.stage(spark, "methods", uuid.uuid4().hex, fails)
     assert seen == ["8000"] and spark.conf.get(name) == before
+
+
+def test_fits_join_their_partitions(spark, monkeypatch):
+    rows, f = some(spark)
+    names = ["id", "target", "fold", "x", "y"]
+    dealt = spark.createDataFrame(spark.sparkContext.parallelize([tuple(r[n] for n in names) for r in f.collect()], 60), "id long, target int, fold int, x double, y double")
+    seen, fit = [], learners.GBTClassifier.fit
+    monkeypatch.setattr(learners.GBTClassifier, "fit", lambda self, df, *a: (seen.append(df.rdd.getNumPartitions()), fit(self, df, *a))[1])
+    m = learners.member("xgb", 2, maxDepth=2, minInstancesPerNode=1)
+    assert learners.cross_val(dealt, None, ["x", "y"], m, 2, 3.0).oof.where("fold < 2").count() > 0
+    cores = spark.sparkContext.defaultParallelism
+    assert cores < 60 and seen == [cores, cores]
+    monkeypatch.setattr(learners, "FIT_ROWS", 5)  # 240 rows: 48 partitions
+    learners.cross_val(dealt, None, ["x", "y"], m, 1, 3.0)
+    assert seen[2:] == [max(48, cores)]
