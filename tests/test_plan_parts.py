@@ -222,3 +222,17 @@ def test_fits_join_their_partitions(spark, monkeypatch):
     monkeypatch.setattr(learners, "FIT_ROWS", 5)  # 240 rows: 48 partitions
     learners.cross_val(dealt, None, ["x", "y"], m, 1, 3.0)
     assert seen[2:] == [max(48, cores)]
+
+
+def test_named_extra_rows_keep_their_synthetic_rows(spark, monkeypatch):
+    _, f = some(spark)
+    extra = spark.createDataFrame([(10_000 + i, i % 2, 0.9 + i / 1000, 0.5) for i in range(12)], "id long, target int, x double, y double")
+    calls, made = [], resample.oversample
+    monkeypatch.setattr(pipeline.resample, "oversample", lambda *a, **k: (calls.append(1), made(*a, **k))[1])
+    cfg, key = pipeline.PlanConfig(k_folds=3, smote_ratio=0.8, k_nn=3, members=[]), uuid.uuid4().hex
+    args = (spark, f, ["x", "y"], cfg, key, extra)
+    plain = pipeline.smote_stage(*args)
+    first, again = pipeline.smote_stage(*args, "chosen"), pipeline.smote_stage(*args, "chosen")
+    drawn = lambda df: sorted((r.tf, r.syn_id, r.base_id, r.nn_id, r.u, r.x, r.y) for r in df.collect())
+    assert len(calls) == 2 and all("smote_extra" in x for x in first.inputFiles())
+    assert drawn(first) == drawn(again) == drawn(plain)
