@@ -236,3 +236,28 @@ def test_named_extra_rows_keep_their_synthetic_rows(spark, monkeypatch):
     drawn = lambda df: sorted((r.tf, r.syn_id, r.base_id, r.nn_id, r.u, r.x, r.y) for r in df.collect())
     assert len(calls) == 2 and all("smote_extra" in x for x in first.inputFiles())
     assert drawn(first) == drawn(again) == drawn(plain)
+
+
+def test_registered_search_runs_all_published_trials(spark, monkeypatch):
+    """80 trials in four rungs; no trial is left out of the first."""
+    from raretide.plans import catalog
+    from raretide.sources import stages
+    asked, fitted = [], []
+
+    def cross_val(train, test, features, m, *rest, **more):
+        fitted.append((m.name, m.max_iter))
+        return learners.CVResult(train.limit(0).select("id", F.lit(0).alias("fold"), F.lit(1).alias("target"), F.lit(0.5).alias("score")), None, None)
+
+    def search_stage(spark, tr, feats, m, cfg, spw, key):
+        asked.append(cfg.search_trials)
+
+    monkeypatch.setattr(catalog, "_plan", lambda spark, sf: (pipeline, pipeline.PlanConfig(members=[]), None, None, [], 1.0, "k"))
+    monkeypatch.setattr(pipeline, "search_stage", search_stage)
+    monkeypatch.setattr(stages, "stage", lambda *a, **k: None)
+    catalog.q_random_search(spark, "")
+    assert asked == [80]
+    f = spark.createDataFrame([(1, 0, 0, 0.0)], "id long, target int, fold int, x double")
+    monkeypatch.setattr(learners, "cross_val", cross_val)
+    table, _ = learners.rung_search(f, ["x"], learners.member("lgb", 20), 2, 1.0, asked[0])
+    by = {r.rung: r.n for r in table.groupBy("rung").agg(F.countDistinct("trial").alias("n")).collect()}
+    assert by == {0: 80, 1: 27, 2: 9, 3: 3} and len(fitted) == 119
