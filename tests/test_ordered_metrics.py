@@ -189,3 +189,19 @@ def test_whole_grid_of_many_points_ends(spark):
             hits += r.target
             total += r.target * hits / i
         assert got[w1, w2] == pytest.approx(total / hits, abs=1e-12)
+
+
+def test_grid_counts_leave_point_by_point(spark, capfd):
+    """The tasks of the grid hand over a point's counts as they are made, and one tile of all positives says the same as many."""
+    from raretide.operators import blend
+    rnd = random.Random(11)
+    rows = [(int(rnd.random() < 0.2), rnd.choice([0.0, 0.5, 1.0, None]), rnd.random()) for _ in range(400)]
+    df = spark.createDataFrame(rows, "target int, a double, b double")
+    for metric in ("ap", "auc"):
+        one, many = (blend.grid_metric(df, ["a", "b"], 6, metric, chunk_rows=chunk, tile_rows=tile) for chunk, tile in ((1000, 1000), (70, 9)))
+        got = [{(r.w1, r.w2): r.metric for r in g.collect()} for g in (one, many)]
+        assert len(got[0]) == 7 and got[0] == pytest.approx(got[1], abs=1e-12)
+    capfd.readouterr()
+    one.explain()
+    plan = capfd.readouterr().out
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInPandas" not in plan
