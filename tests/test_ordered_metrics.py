@@ -205,3 +205,12 @@ def test_grid_counts_leave_point_by_point(spark, capfd):
     one.explain()
     plan = capfd.readouterr().out
     assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInPandas" not in plan
+
+
+def test_order_keys_take_the_place_of_the_scores():
+    from raretide.operators import blend
+    scores = np.array([0.5, -0.0, float("nan"), -2.0, 0.0, -1.0, float("inf"), 3.0])
+    missing = np.array([False] * 7 + [True])
+    keys = blend._order_keys(scores, missing)
+    assert np.shares_memory(keys, scores)
+    assert list(np.argsort(keys, kind="stable")) == [7, 3, 5, 1, 4, 0, 6, 2] and keys[1] == keys[4]
