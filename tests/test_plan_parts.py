@@ -261,3 +261,29 @@ def test_registered_search_runs_all_published_trials(spark, monkeypatch):
     table, _ = learners.rung_search(f, ["x"], learners.member("lgb", 20), 2, 1.0, asked[0])
     by = {r.rung: r.n for r in table.groupBy("rung").agg(F.countDistinct("trial").alias("n")).collect()}
     assert by == {0: 80, 1: 27, 2: 9, 3: 3} and len(fitted) == 119
+
+
+def test_fits_run_side_by_side_as_far_as_memory_goes(spark, monkeypatch):
+    import threading
+    _, f = some(spark)
+    assert learners.fits_at_once(spark, 1000, 60) > 5 and learners.fits_at_once(spark, 10**12, 60) == 1
+    now, most, lock, fit = [0], [], threading.Lock(), learners.GBTClassifier.fit
+
+    def watched(self, df, *a):
+        with lock:
+            now[0] += 1
+            most.append(now[0])
+        try:
+            return fit(self, df, *a)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(learners.GBTClassifier, "fit", watched)
+    m = learners.member("xgb", 2, maxDepth=2, minInstancesPerNode=1)
+    scores = lambda: {r.id: r.score for r in learners.cross_val(f, None, ["x", "y"], m, 3, 3.0).oof.collect()}
+    side = scores()
+    assert max(most) > 1
+    most.clear()
+    monkeypatch.setattr(learners, "FIT_ROW_BYTES", 10**12)  # room for one fit
+    assert scores() == side and most == [1, 1, 1]
