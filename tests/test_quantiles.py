@@ -85,3 +85,24 @@ def test_tied_cells_are_counted_without_rows(spark, monkeypatch):
     got = {r["col"]: r["quantile"] for r in quantiles.column_quantiles(df, df.columns, [0.5]).collect()}
     assert got == {"c3": 0.0, "c5": 0.0}
     assert plans and not any("explode" in p for p in plans)
+
+
+def test_wide_counts_are_made_in_one_look_at_a_cell(spark, capfd):
+    """Zones and counts of cells with nulls, ends at infinity and brackets of one value, without an expression per bracket."""
+    rnd = random.Random(7)
+    rows = [(rnd.choice([None, -1.0, 0.0, -0.0, 0.25, rnd.random()]), rnd.choice([float("inf"), 3.0, None])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    brackets = {("a",): [(float("-inf"), -1.0), (0.0, 0.0), (0.2, 0.4)], ("b",): [(3.0, 3.0), (5.0, float("inf"))]}
+    want = {}
+    for (c,), spans in brackets.items():
+        for row in rows:
+            x = row["ab".index(c)]
+            if x is not None:
+                zone = sum((x >= lo) + (x > hi) for lo, hi in spans)
+                key = (c, zone, x if zone % 2 else None)
+                want[key] = want.get(key, 0) + 1
+    counted = quantiles._wide_counts(df, brackets)
+    assert {(r.col, r.zone, r.value): r.n for r in counted.collect()} == want
+    capfd.readouterr()
+    counted.explain()
+    assert "MapInArrow" in (plan := capfd.readouterr().out) and "explode" not in plan
